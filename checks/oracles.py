@@ -110,7 +110,7 @@ HOSTS = "select distinct string_split(url, '/')[3] as host from pages where stri
 CRAWL_SELECT = """with h as (select distinct string_split(url, '/')[3] as host from pages where contains(html, '<html lang="en">'))
 select page_id, string_split(url, '/')[3] as host from pages where string_split(url, '/')[3] in (select host from h)"""
 
-WIDE = """(select *, l_extendedprice as copy, case when l_linenumber = 1 then -1.0::DOUBLE else l_quantity end as partly,
+WIDE = """(select *, l_extendedprice as copy, case when l_linenumber <= 3 then -1.0::DOUBLE else l_quantity end as partly,
   l_returnflag || chr(10) || l_linestatus as note from lineitem)"""
 
 NEAR_DUP = f"""with s as (
@@ -119,7 +119,7 @@ NEAR_DUP = f"""with s as (
   union all select 4, 12, 'l_quantity', 'partly', count(*) filter (l_quantity = partly)::DOUBLE / count(*)::DOUBLE from {WIDE}
   union all select 0, 1, 'l_orderkey', 'l_partkey', count(*) filter (l_orderkey = l_partkey)::DOUBLE / count(*)::DOUBLE from {WIDE}
   union all select 6, 7, 'l_discount', 'l_tax', count(*) filter (l_discount = l_tax)::DOUBLE / count(*)::DOUBLE from {WIDE}
-) select left_pos::INTEGER as left_pos, right_pos::INTEGER as right_pos, left_col, right_col, equal_share from s where equal_share >= 0.7"""
+) select left_pos::INTEGER as left_pos, right_pos::INTEGER as right_pos, left_col, right_col, equal_share from s where equal_share >= 0.3"""
 
 LINEITEM_COLUMNS = [
     ("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "i"), ("l_quantity", "d"),
@@ -141,7 +141,7 @@ def pair_shares_sql() -> str:
 
 CLEAN_TABLE = """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
   l_returnflag as note, l_linestatus, {partly} l_returnflag || l_linestatus as note_1
-from (select *, case when l_linenumber = 1 then -1.0::DOUBLE else l_quantity end as partly from lineitem)"""
+from (select *, case when l_linenumber <= 3 then -1.0::DOUBLE else l_quantity end as partly from lineitem)"""
 
 STRIP = "select doc_id, replace(text, chr(10), '') as text, lang from documents"
 
@@ -310,7 +310,7 @@ def quality_ctes(source: str) -> str:
         ("too_many_hashes", f"{share('hashes', 'n')} > 0.1::DOUBLE"),
         ("too_many_ellipses", f"{share('ellipses', 'n')} > 0.1::DOUBLE"),
         ("too_many_bullets", f"{share('bullets', 'nlines')} > 0.9::DOUBLE"),
-        ("too_many_ellipsis_lines", f"{share('trailing', 'nlines')} > 0.3::DOUBLE"),
+        ("too_many_ellipsis_lines", f"{share('trailing_n', 'nlines')} > 0.3::DOUBLE"),
         ("too_few_alpha_words", f"{share('alpha', 'n')} < 0.8::DOUBLE"),
         ("too_few_stop_words", "stops < 2"),
     ]
@@ -321,7 +321,7 @@ qm as (select doc_id, len(ws) as n, length(array_to_string(ws, '')) as chars,
   length(text) - length(replace(text, '#', '')) as hashes,
   len(regexp_extract_all(text, '\.\.\.|…')) as ellipses, len(ls) as nlines,
   len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[•‣●▪*-]'))) as bullets,
-  len(list_filter(ls, lambda x: ends_with(x, '...') or ends_with(x, '…'))) as trailing
+  len(list_filter(ls, lambda x: ends_with(x, '...') or ends_with(x, '…'))) as trailing_n
   from qa),
 quality as (select doc_id, {first_reason(rules)} as reason from qm)"""
 

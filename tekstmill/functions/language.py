@@ -6,7 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .text import STOP_WORD_LANGUAGES, bind, share, stop_words
+from .settle import settle
+from .text import STOP_WORD_LANGUAGES, share, stop_words
 
 LETTERS = r"\p{L}+"
 PROFILE_SIZE = 300
@@ -49,7 +50,7 @@ def learn_profiles(
 
 
 def load_profiles(profiles: DataFrame, languages: Iterable[str], size: int = PROFILE_SIZE) -> dict[str, list[str]]:
-    """Profiles as literals for :func:`language_score`. At most ``size`` rows per named
+    """Profiles as literals for :func:`score_language`. At most ``size`` rows per named
     language reach the driver."""
     wanted = list(languages)
     rows = profiles.filter(F.col("lang").isin(wanted) & (F.col("rank") <= size)).select("lang", "gram").collect()
@@ -69,42 +70,29 @@ def stop_word_profiles(languages: Iterable[str] = tuple(STOP_WORD_LANGUAGES)) ->
     return profiles
 
 
-def language_score(text: Column, profiles: Profiles) -> Column:
-    """Struct ``label, hits, grams, score``; NULL for a text without letters.
+def score_language(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """Adds ``language`` and ``language_score``, NULL for a text without letters.
 
-    ``hits`` counts the text's trigrams found in a language's profile, the label is the
-    language with the most hits (ties: first in the mapping), and ``score`` is its lead
+    A language's hits are the text's trigrams found in its profile. The label is the
+    language with the most hits (ties: first in the mapping), and the score is its lead
     over the runner-up, ``best / (best + second)``: 0.5 says undecided, 1.0 undisputed.
     The profiles are literal sets, so a row is scored where it lies, without a join.
     """
-
-    def hits_in(grams: Column, members: Iterable[str]) -> Column:
-        return F.array_size(F.filter(grams, lambda g: g.isin(list(members))))
-
-    def rank(grams: Column) -> Column:
-        return F.sort_array(
-            F.array(
-                *[
-                    F.struct(hits_in(grams, members).alias("hits"), F.lit(-i).alias("turn"), F.lit(lang).alias("label"))
-                    for i, (lang, members) in enumerate(profiles.items())
-                ]
-            ),
-            asc=False,
-        )
-
-    def summary(ranked: Column, grams: Column) -> Column:
-        best = F.get(ranked, F.lit(0))
-        second = F.coalesce(F.get(ranked, F.lit(1))["hits"], F.lit(0))
-        return F.struct(
-            best["label"].alias("label"),
-            best["hits"].alias("hits"),
-            F.array_size(grams).alias("grams"),
-            share(best["hits"], best["hits"] + second).alias("score"),
-        )
-
-    return bind(
-        trigrams(text),
-        lambda grams: F.when(
-            F.array_size(grams) > 0, bind(rank(grams), lambda ranked: summary(ranked, grams))
-        ),
+    keep = docs.columns
+    docs = docs.withColumn("_grams", trigrams(F.col(text_col)))
+    entries = []
+    for turn, (lang, members) in enumerate(profiles.items()):
+        # Trigrams are letters and blanks, so they need no escaping. One expression text
+        # is far quicker to plan than hundreds of single literals.
+        known = ", ".join(f"'{gram}'" for gram in members)
+        hits = F.expr(f"array_size(filter(_grams, g -> g in ({known})))") if known else F.lit(0)
+        entries.append(F.struct(hits.alias("hits"), F.lit(-turn).alias("turn"), F.lit(lang).alias("label")))
+    docs = docs.withColumn("_ranked", F.sort_array(F.array(*entries), asc=False))
+    ranked = F.col("_ranked")
+    best, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
+    lead = share(best["hits"], best["hits"] + F.coalesce(second["hits"], F.lit(0)))
+    lettered = F.array_size("_grams") > 0
+    scored = F.when(lettered, F.struct(best["label"].alias("label"), lead.alias("score")))
+    return settle(docs, "_lang", scored).select(
+        *keep, F.col("_lang.label").alias("language"), F.col("_lang.score").alias("language_score")
     )

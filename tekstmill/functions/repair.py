@@ -41,8 +41,9 @@ MOJIBAKE_LEAD = "[" + "".join(sorted({broken[0] for broken, _ in MOJIBAKE})) + "
 
 def fix_mojibake(text: Column) -> Column:
     """Replace the broken forms; only texts that hold a lead character pay for it."""
-    table = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(g).alias("g")) for b, g in MOJIBAKE])
-    fixed = F.aggregate(table, text, lambda acc, pair: F.replace(acc, pair["b"], pair["g"]))
+    broken, good = (F.split(F.lit("\t".join(side)), "\t") for side in zip(*MOJIBAKE))
+    table = F.arrays_zip(broken.alias("broken"), good.alias("good"))
+    fixed = F.aggregate(table, text, lambda acc, pair: F.replace(acc, pair["broken"], pair["good"]))
     return F.when(text.rlike(MOJIBAKE_LEAD), fixed).otherwise(text)
 
 

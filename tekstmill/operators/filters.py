@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.language import Profiles, language_score, stop_word_profiles
+from ..functions.language import Profiles, score_language, stop_word_profiles
 from ..functions.ngrams import repeated_ngram_chars
 from ..functions.settle import settle
 from ..functions.text import (
@@ -63,8 +63,7 @@ def language_filter(
 ) -> DataFrame:
     """Keep texts whose language is one of ``languages``; adds ``language`` and
     ``language_score``. ``label_only`` adds the columns and rejects nothing."""
-    scored = docs.withColumn("_lang", language_score(F.col(text_col), profiles or stop_word_profiles()))
-    scored = scored.withColumns({"language": F.col("_lang.label"), "language_score": F.col("_lang.score")}).drop("_lang")
+    scored = score_language(docs, profiles or stop_word_profiles(), text_col)
     if label_only:
         return scored.withColumn("reason", F.lit(None).cast("string"))
     known = F.col("language").isin(list(languages)) & (F.col("language_score") >= min_score)
@@ -124,7 +123,7 @@ def repetition_filter(
         for kind, shares in (("top", top_ngram_shares), ("dup", dup_ngram_shares))
         for n, limit in shares.items()
     ]
-    return checked.select(*keep, F.coalesce(F.col("_lines"), first_reason(gram_rules)).alias("reason"))
+    return settle(checked, "reason", F.coalesce(F.col("_lines"), first_reason(gram_rules))).select(*keep, "reason")
 
 
 def quality_filter(
@@ -176,7 +175,7 @@ def quality_filter(
         ("too_few_alpha_words", share(c("_alpha"), c("_n")) < min_alpha_word_share),
         ("too_few_stop_words", c("_stops") < min_stop_words),
     ]
-    return checked.select(*keep, first_reason(rules).alias("reason"))
+    return settle(checked, "reason", first_reason(rules)).select(*keep, "reason")
 
 
 def line_clean_filter(
@@ -224,7 +223,8 @@ def line_clean_filter(
         rules.append(("curly_bracket", F.col("_lower").contains("{")))
     rules.append(("too_few_sentences", F.array_size(sentences(F.col("_cleaned"))) < min_sentences))
     out = {name: F.col(name) for name in keep} | {text_col: F.col("_cleaned")}
-    return checked.select(*[value.alias(name) for name, value in out.items()], first_reason(rules).alias("reason"))
+    judged = settle(checked, "reason", first_reason(rules))
+    return judged.select(*[value.alias(name) for name, value in out.items()], "reason")
 
 
 def line_structure_filter(
@@ -256,7 +256,7 @@ def line_structure_filter(
         ("short_lines", share(c("_short"), c("_rows")) >= max_short_line_share),
         ("dup_line_chars", share(c("_repeated"), F.length(text)) >= max_dup_line_char_share),
     ]
-    return checked.select(*keep, first_reason(rules).alias("reason"))
+    return settle(checked, "reason", first_reason(rules)).select(*keep, "reason")
 
 
 def token_count(docs: DataFrame, pattern: str = PRE_TOKEN, text_col: str = "text") -> DataFrame:

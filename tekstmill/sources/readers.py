@@ -104,7 +104,8 @@ def read_documents(
         docs = docs.limit(limit) if limit >= 0 else docs
     if adapter is not None:
         docs = docs.transform(adapter)
-    docs = docs.withColumnsRenamed({text_key: "text", id_key: "id"})
+    renamed = {old: new for old, new in ((text_key, "text"), (id_key, "id")) if old != new}
+    docs = docs.drop(*renamed.values()).withColumnsRenamed(renamed)
     if not read_metadata:
         return docs.select("text", "id")
     if "metadata" in docs.columns and isinstance(docs.schema["metadata"].dataType, T.StringType):
