@@ -62,13 +62,6 @@ def shingle_lanes(text: Column, plan: MinHashPlan) -> Column:
     return bind(words(F.lower(text)), lambda w: F.transform(runs(w, plan.ngram), lanes))
 
 
-def _mod(values: np.ndarray) -> np.ndarray:
-    """Remainder by the Mersenne prime, for values below 2**62."""
-    values = (values & PRIME) + (values >> LANE_BITS)
-    values = (values & PRIME) + (values >> LANE_BITS)
-    return np.where(values >= PRIME, values - PRIME, values)
-
-
 # Shingles permuted at a time: keeps the work arrays in the processor cache.
 BLOCK = 1 << 15
 
@@ -98,7 +91,7 @@ def signature(text: Column, plan: MinHashPlan) -> Column:
             cuts = np.maximum(starts[first:last], low) - low
             one, two = packed[low:high] >> 28, packed[low:high] & ((1 << 28) - 1)
             for i, (a, b, c, d) in enumerate(coefficients):
-                value = (_mod(one * a + b) << LANE_BITS) + _mod(two * c + d)
+                value = ((one * a + b) % PRIME << LANE_BITS) + (two * c + d) % PRIME
                 here = np.minimum.reduceat(value, cuts)
                 out[first:last, i] = np.minimum(out[first:last, i], here)
         offsets = np.concatenate(([0], np.cumsum(signed * size))).astype(np.int32)

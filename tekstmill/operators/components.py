@@ -53,10 +53,11 @@ def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFram
     executor costs no earlier round. The rounds end when the edges no longer change:
     then every node points at the smallest of its component.
     """
-    current = cut_lineage(edges)
+    current = cut_lineage(edges, "edges")
     seen = _fingerprint(current)
     while True:
-        current = cut_lineage(_small_star(_large_star(current, hot_rows), hot_rows))
+        current = cut_lineage(_large_star(current, hot_rows), "large-star")
+        current = cut_lineage(_small_star(current, hot_rows), "small-star")
         now = _fingerprint(current)
         if now == seen:
             break

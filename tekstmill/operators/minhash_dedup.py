@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.minhash import MinHashPlan, band_keys, signature
 from ..functions.settle import settle
 from .components import connected_components
+from ..plans.lineage import cut_lineage
 from .skew import HOT_ROWS, join_facts
 
 
@@ -33,11 +34,15 @@ def match_buckets(
     its pairs. A band that a large part of the corpus shares is split, see ``join_facts``.
     """
     bands = signatures.select(key, F.explode(band_keys(F.col("signature"), plan)).alias("band"))
+    # Written once: the bands are looked at twice, but their signatures cost a pass over
+    # all texts.
+    bands = cut_lineage(bands, "bands")
     firsts = (
         bands.groupBy("band")
         .agg(F.min(key).alias("dst"), F.count(F.lit(1)).alias("_members"))
         .filter(F.col("_members") > 1)
     )
+    firsts = cut_lineage(firsts, "shared-bands")
     linked = join_facts(bands, firsts, "band", "_members", F.col(key), hot_rows)
     return linked.filter(F.col(key) > F.col("dst")).select(F.col(key).alias("src"), "dst").distinct()
 
@@ -64,7 +69,7 @@ def deduplicate_documents(
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, removed); ``removed`` carries the ``cluster`` whose first document stays.
-    The ids to remove exist as a checkpoint by now, so their size is known and Spark
+    The ids to remove have been written by now, so their size is known and Spark
     broadcasts them only when they are small."""
     edges = match_buckets(minhash_signatures(docs, key, text_col, plan), key, plan, hot_rows)
     gone = removed_ids(duplicate_clusters(edges, hot_rows), key)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import bind, lines, run_fields, runs, sentences, words
+from ..plans.lineage import cut_lineage
 from .skew import HOT_ROWS, join_facts
 
 
@@ -88,6 +89,8 @@ def duplicate_windows(
         .agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_times"))
         .filter(F.col("_times") > 1)
     )
+    # Hashes that occur once are gone by now, and with them most of the table.
+    firsts = cut_lineage(firsts, "repeated-windows")
     found = join_facts(windows, firsts, "h", "_times", F.struct(key, "pos"), hot_rows)
     return found.filter(F.col("again") | (F.col(key) > F.col("_first"))).select(key, "pos", "h")
 

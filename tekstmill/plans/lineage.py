@@ -25,10 +25,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The same rows read back from the checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """The same rows, written to the shared folder and read back.
+
+    What is built on them is planned with their true size, computes them once only, and
+    outlives the executors that made them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
