@@ -44,8 +44,8 @@ def _located(rows: DataFrame, text: Column) -> DataFrame:
 
 def _whole_files(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
     """One row per file. Bytes that are not UTF-8 give NULL."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return _located(files.text(folders), F.try_validate_utf8("value"))
+    files = spark.read.format("text").options(wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    return _located(files.load(folders), F.try_validate_utf8("value"))
 
 
 def text_records(rows: DataFrame, source: str, now: str) -> DataFrame:

@@ -57,12 +57,18 @@ def language_filter(
     docs: DataFrame,
     languages: Iterable[str] = ("da",),
     profiles: Profiles | None = None,
-    min_score: float = 0.65,
+    min_score: float | None = None,
     label_only: bool = False,
     text_col: str = "text",
 ) -> DataFrame:
     """Keep texts whose language is one of ``languages``; adds ``language`` and
-    ``language_score``. ``label_only`` adds the columns and rejects nothing."""
+    ``language_score``. ``label_only`` adds the columns and rejects nothing.
+
+    ``min_score`` is 0.65 for given profiles. The stop-word profiles that stand in for
+    missing ones leave little lead over related languages, so there the label decides.
+    """
+    if min_score is None:
+        min_score = 0.65 if profiles else 0.5
     scored = score_language(docs, profiles or stop_word_profiles(), text_col)
     if label_only:
         return scored.withColumn("reason", F.lit(None).cast("string"))

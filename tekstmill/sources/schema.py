@@ -29,7 +29,7 @@ def normalise_schema(df: DataFrame, schema: T.StructType | None = None) -> DataF
 
     def fit(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`") if field.name in df.columns else F.lit(None)
-        # A NULL branch makes the column itself nullable without touching its values.
-        return F.when(F.lit(True), value.cast(field.dataType)).alias(field.name)
+        # Written as a case, the column itself is nullable too, with the same values.
+        return F.when(value.isNotNull(), value.cast(field.dataType)).alias(field.name)
 
     return df.select(*[fit(f) for f in target.fields])

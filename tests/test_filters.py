@@ -7,11 +7,13 @@ from tekstmill.functions import language
 from tekstmill.functions.text import stop_words, words
 from tekstmill.operators import chain, filters
 
-GOOD = " ".join(["det er en god dag og vi har meget at lave her i byen nu."] * 1)
-LONG = "\n".join(
-    f"Linje nummer {w} handler om at der ikke er noget som helst galt med {v} endnu." for w, v in
-    zip("et to tre fire fem seks syv otte ni ti".split(), "huset bilen skoven havet vejen byen dagen natten solen broen".split())
-)
+LONG = """Der var engang en fattig mand, som boede i et lille hus ved skoven.
+Om morgenen gik han ud for at hente brænde til ovnen.
+Hans kone blev hjemme og passede deres to små børn.
+Men en dag kom der en fremmed forbi, og alt blev anderledes.
+Han ville købe huset og betale dem med guld fra bjergene.
+De talte længe om tilbuddet, fordi ingen af dem havde set så mange penge før.
+Til sidst sagde de nej tak, for hvor skulle de ellers bo?"""
 
 
 def reasons(df):
@@ -90,7 +92,7 @@ def test_repetition_lines(texts):
     distinct = [f"w{i} line" for i in range(10)]
     cases = [
         ("\n\n".join(["same", "same", "b", "c"]), None, "dup_paragraph_char_share"),
-        ("\n".join(["x"] * 4 + distinct[:7]), None, "dup_line_share"),
+        ("\n".join(["x"] * 5 + distinct[:7]), None, "dup_line_share"),
     ]
     out = filters.repetition_filter(texts(*[c[0] for c in cases]))
     assert reasons(out) == [c[2] for c in cases]
@@ -126,7 +128,7 @@ def test_ngrams_against_brute_force(spark, texts):
 def test_language(spark, texts):
     danish = "det er ikke noget som helst men vi har ikke været her før og det skal være godt for alle"
     english = "this is not what they have been doing with their own things because of the other ones"
-    docs = filters.language_filter(texts(danish, english, "12 34", None), ["da"], min_score=0.5)
+    docs = filters.language_filter(texts(danish, english, "12 34", None), ["da"])
     rows = docs.orderBy("doc_id").collect()
     assert rows[0].language == "da" and rows[1].language == "en" and rows[2].language is None
     assert [r.reason for r in rows] == [None, "other_language", "other_language", None]
@@ -144,13 +146,12 @@ def test_language_held_out_accuracy(spark):
 
 
 def run_chain(docs, **options):
-    steps = chain.default_steps(language_options={"min_score": 0.5}, **options)
-    return chain.apply_chain(docs, steps)
+    return chain.apply_chain(docs, chain.default_steps(**options))
 
 
 def test_chain_order_and_texts(texts):
     english = "this is not what they have been doing with their own things because of the other ones. " * 3
-    docs = texts(LONG, english, "kort dansk tekst som ikke er lang nok til det hele", LONG.replace(".", ""))
+    docs = texts(LONG, english, LONG.split("\n")[0], LONG.replace(".", "").replace("?", ""))
     out = run_chain(docs).orderBy("doc_id").collect()
     assert [r.rejected_by for r in out] == [None, "non_danish_documents", "gopher_quality", "c4_quality"]
     assert out[0].token_count > 0 and out[1].token_count is None
