@@ -41,7 +41,10 @@ def join_facts(
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
         "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(HOT_SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
     )
-    salted = facts.select(key, *values, F.lit(0).cast("bigint").alias("_salt"), F.lit(True).alias("_found"))
+    # A literal zero would be turned into a condition on the rows and leave the salt out of
+    # the partitioning, so the zero is drawn from the data.
+    zero = F.pmod(F.col(weight), F.lit(1)).cast("bigint")
+    salted = facts.select(key, *values, zero.alias("_salt"), F.lit(True).alias("_found"))
     joined = marked.join(salted, [key, "_salt"], "left").filter(is_hot | F.col("_found"))
     chosen = [F.when(is_hot, F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values]
     return joined.select(*rows.columns, *chosen)

@@ -82,6 +82,24 @@ def test_join_facts(spark, hot_rows):
     assert sorted(split.collect()) == sorted(plain.collect())
 
 
+def test_hot_keys_are_spread(spark):
+    """A key with a third of all rows must not end up in one partition."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(30_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+        facts = rows.groupBy("k").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"))
+        split = join_facts(rows, facts, "k", "n", F.col("id"), hot_rows=100)
+        sizes = [r.n for r in split.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 30_000 / 3
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("_salt") and "hashpartitioning(k#" in plan
+        assert all("_salt" in line for line in plan.split("\n") if "ENSURE_REQUIREMENTS" in line and "low" in line)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def brute_components(edges):
     parent = {}
 

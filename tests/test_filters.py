@@ -151,7 +151,7 @@ def run_chain(docs, **options):
 
 def test_chain_order_and_texts(texts):
     english = "this is not what they have been doing with their own things because of the other ones. " * 3
-    docs = texts(LONG, english, LONG.split("\n")[0], LONG.replace(".", "").replace("?", ""))
+    docs = texts(LONG, english, "\n".join(LONG.split("\n")[:3]), LONG.replace(".", "").replace("?", ""))
     out = run_chain(docs).orderBy("doc_id").collect()
     assert [r.rejected_by for r in out] == [None, "non_danish_documents", "gopher_quality", "c4_quality"]
     assert out[0].token_count > 0 and out[1].token_count is None
