@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .batches import list_lengths, parts
 from .settle import settle
-from .text import STOP_WORD_LANGUAGES, share, stop_words
+from .text import STOP_WORD_LANGUAGES, stop_words
 
 LETTERS = r"\p{L}+"
 PROFILE_SIZE = 300
@@ -52,7 +55,7 @@ def learn_profiles(
 
 
 def load_profiles(profiles: DataFrame, languages: Iterable[str], size: int = PROFILE_SIZE) -> dict[str, list[str]]:
-    """Profiles as literals for :func:`score_language`. At most ``size`` rows per named
+    """Profiles in memory for :func:`score_language`. At most ``size`` rows per named
     language reach the driver."""
     wanted = list(languages)
     rows = profiles.filter(F.col("lang").isin(wanted) & (F.col("rank") <= size)).select("lang", "gram").collect()
@@ -77,29 +80,66 @@ def stop_word_profiles(
     return profiles
 
 
+def _profile_lead(words: Column, profiles: Profiles) -> Column:
+    """Struct ``label, score`` of lower-case words, see :func:`score_language`.
+
+    A batch holds far fewer distinct words than words, and what a word adds to each
+    language depends on the word alone: trigrams are cut and looked up once per distinct
+    word, and the rest is array sums, for two languages or for fifty.
+    """
+    labels = list(profiles)
+    index: dict[str, int] = {}
+    for members in profiles.values():
+        for gram in members:
+            index.setdefault(gram, len(index))
+    # One row per known trigram and a last one, of zeros, for all others.
+    member = np.zeros((len(labels), len(index) + 1), np.int32)
+    for row, members in enumerate(profiles.values()):
+        member[row, [index[gram] for gram in members]] = 1
+
+    def lead_of(batch: pa.ListArray) -> pa.StructArray:
+        lengths = list_lengths(batch)
+        lettered = lengths > 0
+        label, score = np.full(len(batch), None, object), np.zeros(len(batch))
+        if lettered.any():
+            encoded = batch.flatten().dictionary_encode()
+            known, first = [], []
+            for word in encoded.dictionary.to_pylist():
+                padded = f" {word} "
+                first.append(len(known))
+                known.extend(index.get(padded[i : i + 3], -1) for i in range(len(word)))
+            known = np.array(known)
+            ids = encoded.indices.to_numpy(zero_copy_only=False)
+            starts = np.cumsum(lengths[lettered]) - lengths[lettered]
+            # Language by language, so that no array grows with their number.
+            hits = np.stack(
+                [np.add.reduceat(np.add.reduceat(row[known], first)[ids], starts) for row in member], axis=1
+            )
+            best = hits.argmax(axis=1)
+            ordered = np.sort(np.pad(hits, ((0, 0), (1, 0))), axis=1)
+            top, both = ordered[:, -1], ordered[:, -1] + ordered[:, -2]
+            label[lettered] = np.array(labels, object)[best]
+            score[lettered] = np.divide(top, both, out=np.zeros(len(top)), where=both > 0)
+        return pa.StructArray.from_arrays(
+            [pa.array(label, pa.string()), pa.array(score, pa.float64(), mask=~lettered)], names=["label", "score"]
+        )
+
+    @F.arrow_udf("label string, score double")
+    def lead(batch: pa.Array) -> pa.Array:
+        return pa.concat_arrays([lead_of(part) for part in parts(batch)])
+
+    return lead(words)
+
+
 def score_language(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
     """Adds ``language`` and ``language_score``, NULL for a text without letters.
 
     A language's hits are the text's trigrams found in its profile. The label is the
     language with the most hits (ties: first in the mapping), and the score is its lead
     over the runner-up, ``best / (best + second)``: 0.5 says undecided, 1.0 undisputed.
-    The profiles are literal sets, so a row is scored where it lies, without a join.
+    A row is scored where it lies, without a join.
     """
-    keep = docs.columns
-    docs = docs.withColumn("_grams", trigrams(F.col(text_col)))
-    entries = []
-    for turn, (lang, members) in enumerate(profiles.items()):
-        # Trigrams are letters and blanks, so they need no escaping. One expression text
-        # is far quicker to plan than hundreds of single literals.
-        known = ", ".join(f"'{gram}'" for gram in members)
-        hits = F.expr(f"array_size(filter(_grams, g -> g in ({known})))") if known else F.lit(0)
-        entries.append(F.struct(hits.alias("hits"), F.lit(-turn).alias("turn"), F.lit(lang).alias("label")))
-    docs = docs.withColumn("_ranked", F.sort_array(F.array(*entries), asc=False))
-    ranked = F.col("_ranked")
-    best, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
-    lead = share(best["hits"], best["hits"] + F.coalesce(second["hits"], F.lit(0)))
-    lettered = F.array_size("_grams") > 0
-    scored = F.when(lettered, F.struct(best["label"].alias("label"), lead.alias("score")))
-    return settle(docs, "_lang", scored).select(
-        *keep, F.col("_lang.label").alias("language"), F.col("_lang.score").alias("language_score")
+    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(LETTERS), F.lit(0))
+    return settle(docs, "_lang", _profile_lead(words, profiles)).select(
+        *docs.columns, F.col("_lang.label").alias("language"), F.col("_lang.score").alias("language_score")
     )

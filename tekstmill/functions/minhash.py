@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
+from .batches import list_lengths
 from .text import bind, run_fields, runs, words
 
 # Mersenne prime of the permutations, and the width of one lane.
@@ -78,7 +79,7 @@ def signature(text: Column, plan: MinHashPlan) -> Column:
 
     @F.arrow_udf("array<bigint>")
     def minima(batch: pa.Array) -> pa.Array:
-        lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        lengths = list_lengths(batch)
         packed = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         signed = lengths > 0
         ends = np.cumsum(lengths[signed])

@@ -14,10 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
+from .batches import list_lengths, parts
+
 
 def _batch_counts(batch: pa.ListArray, top_sizes: Sequence[int], dup_sizes: Sequence[int]) -> dict[str, np.ndarray]:
     docs = len(batch)
-    lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = list_lengths(batch)
     values = batch.flatten()
     total = len(values)
     out = {f"top_{n}": np.zeros(docs, np.int64) for n in top_sizes}
@@ -71,7 +73,8 @@ def repeated_ngram_chars(words: Column, top_sizes: Sequence[int], dup_sizes: Seq
 
     @F.arrow_udf(", ".join(f"{name} bigint" for name in fields))
     def count(batch: pa.Array) -> pa.Array:
-        found = _batch_counts(batch, top_sizes, dup_sizes)
-        return pa.StructArray.from_arrays([pa.array(found[name], pa.int64()) for name in fields], names=fields)
+        found = [_batch_counts(part, top_sizes, dup_sizes) for part in parts(batch)]
+        columns = [np.concatenate([counts[name] for counts in found]) for name in fields]
+        return pa.StructArray.from_arrays([pa.array(column, pa.int64()) for column in columns], names=fields)
 
     return count(words)

@@ -151,7 +151,8 @@ def quality_filter(
     keep = docs.columns
     text = F.col(text_col)
     known = stop_words("da") if stop_word_list is None else list(stop_word_list)
-    stop_array = F.array(*[F.lit(w) for w in known])
+    # One literal, split when the query is planned, instead of one per word.
+    stop_array = F.split(F.lit("\t".join(known)), "\t")
     checked = docs.withColumns({"_words": words(text), "_lines": lines(text)})
     w, rows = F.col("_words"), F.col("_lines")
     checked = checked.withColumns(

@@ -162,7 +162,7 @@ def test_chain_does_not_shuffle_or_repeat_work(texts):
     out = run_chain(texts(LONG)).filter(F.col("rejected_by").isNull())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert plan.count("ArrowEvalPython") == 2
+    assert plan.count("ArrowEvalPython") == 3
     assert plan.count(r"regexp_extract_all(lower(") == 1
 
 
@@ -183,3 +183,15 @@ def test_statistics(texts):
 def test_token_count(texts, pattern, n):
     kw = {"pattern": pattern} if pattern else {}
     assert filters.token_count(texts("Hej, du der."), **kw).first().token_count == n
+
+
+def test_batch_parts_are_whole_and_bounded():
+    import pyarrow as pa
+
+    from tekstmill.functions.batches import parts
+
+    lists = [["a"] * n for n in (0, 3, 1, 9, 2, 2, 0)] + [None, ["a"]]
+    batch = pa.array(lists, pa.list_(pa.string()))
+    cut = list(parts(batch, 4))
+    assert [x for part in cut for x in part.to_pylist()] == lists and len(cut) > 2
+    assert [len(p) for p in parts(batch[:0], 4)] == [0]
