@@ -82,13 +82,14 @@ def duplicate_windows(
     shuffles; the windows then look up that document in a join that is safe against a
     window repeated all over the corpus.
     """
-    if index is not None:
-        windows = windows.join(index.select("h").distinct(), "h", "left_semi")
     firsts = (
         windows.groupBy("h")
         .agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_times"))
         .filter(F.col("_times") > 1)
     )
+    if index is not None:
+        # On both sides a hash is one row here, however often the corpus repeats it.
+        firsts = firsts.join(index.select("h").distinct(), "h", "left_semi")
     # Hashes that occur once are gone by now, and with them most of the table.
     firsts = cut_lineage(firsts, "repeated-windows")
     found = join_facts(windows, firsts, "h", "_times", F.struct(key, "pos"), hot_rows)
