@@ -6,9 +6,13 @@ aggregates and joins, recursion where it iterates.
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
+import pyspark
+
 from tekstmill.functions.extract import DROPPED_ELEMENTS, HTML_ENTITIES
 from tekstmill.functions.repair import CURLY_QUOTES, MOJIBAKE, STRAIGHT_QUOTES
-from tekstmill.functions.text import stop_words
 from tekstmill.operators.filters import DUP_NGRAM_SHARES, POLICY_PHRASES, TOP_NGRAM_SHARES
 
 from .queries import BROKEN_LETTERS, LANGUAGES, MD5_PLAN, NOW
@@ -18,6 +22,17 @@ TOKENS = r"regexp_extract_all({}, '\p{{L}}+|\p{{N}}+|[^\s\p{{L}}\p{{N}}]+')"
 SENTENCES = r"regexp_extract_all({}, '[^.!?]+[.!?]*')"
 
 
+def english_stop_words() -> list[str]:
+    """Spark's English stop words, read from its own archive: the SQL can then be had
+    without a running session."""
+    for jar in sorted((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar")):
+        with zipfile.ZipFile(jar) as archive:
+            return archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+    from tekstmill.functions.text import stop_words
+
+    return stop_words("en")
+
+
 def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -317,7 +332,7 @@ def quality_ctes(source: str) -> str:
     return rf"""qa as (select doc_id, text, {w} as ws, {LINE_LIST} as ls from {source}),
 qm as (select doc_id, len(ws) as n, length(array_to_string(ws, '')) as chars,
   len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) as alpha,
-  len(list_distinct(list_filter(list_transform(ws, lambda x: lower(x)), lambda x: list_contains({string_list(stop_words('en'))}, x)))) as stops,
+  len(list_distinct(list_filter(list_transform(ws, lambda x: lower(x)), lambda x: list_contains({string_list(english_stop_words())}, x)))) as stops,
   length(text) - length(replace(text, '#', '')) as hashes,
   len(regexp_extract_all(text, '\.\.\.|…')) as ellipses, len(ls) as nlines,
   len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[•‣●▪*-]'))) as bullets,

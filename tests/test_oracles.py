@@ -23,6 +23,13 @@ def test_query(spark, db, name):
     assert compare.difference(spark, db, QUERIES[name], ORACLES[name], SMALL) is None
 
 
+def test_stop_words_of_the_oracle(spark):
+    from checks.oracles import english_stop_words
+    from tekstmill.functions.text import stop_words
+
+    assert sorted(english_stop_words()) == sorted(stop_words("en"))
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
