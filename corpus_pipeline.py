@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tekstmill.llm import bpe, mixing, quality, toxicity
+from tekstmill.llm import bpe, forest, mixing, quality, toxicity
 from tekstmill.llm.common import read_table, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,6 +29,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score_toxicity(docs, lexicon).filter("predicted = 0").select(*COLUMNS)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles."""
+    return forest.drop_near_duplicates(docs).select(*COLUMNS)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mix_sources(docs).select(*COLUMNS)
@@ -48,6 +53,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality_stage),
     ("toxicity", toxicity_stage),
+    ("near duplicates", near_duplicate_stage),
     ("mixing", mixing_stage),
     ("tokens", token_stage),
 ]
@@ -60,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result but the last is written to the shared folder and read back."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

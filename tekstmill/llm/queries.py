@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality, toxicity
+from . import bpe, forest, mixing, quality, toxicity
 
 QUERIES = {
+    "op3_ngram_forest": forest.op3_ngram_forest,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op6_bpe_round_trip": bpe.op6_bpe_round_trip,
     "op8_toxicity": toxicity.op8_toxicity,
