@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, forest, mixing, quality, toxicity
+from . import bpe, forest, mixing, quality, token_files, toxicity
 
 QUERIES = {
     "op3_ngram_forest": forest.op3_ngram_forest,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_token_files": token_files.op5_token_files,
     "op6_bpe_round_trip": bpe.op6_bpe_round_trip,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_quality": quality.op10_quality,
