@@ -28,7 +28,8 @@ from .common import append_columns, map_texts, read_table, text_or_empty
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = re.compile(f"[^{SPACE}]+")
 # Pieces that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+MARKS = tuple(",.;:!?")
 
 
 def byte_letters() -> list[str]:
@@ -98,20 +99,26 @@ class ForcedBoundaryBPE:
         last = len(fragments) - 1
         return array("i", [x for i, f in enumerate(fragments) for x in self.merge(f, i == last)]).tobytes()
 
+    def _known_word(self, word: str) -> bytes:
+        found = self.known_words.get(word)
+        if found is None:
+            found = self.known_words[word] = self._word(word)
+        return found
+
     def _plain(self, text: str) -> bytes:
         # Letter by letter, without the rule for a final sigma.
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        ids = []
-        for word in self.words.findall(text.lower()):
-            found = self.known_words.get(word)
-            if found is None:
-                found = self.known_words[word] = self._word(word)
-            ids.append(found)
-        return b"".join(ids)
+        text = text.lower()
+        # Letters alone, or with one mark after them, need no search for words.
+        if text.isalpha():
+            return self._known_word(text)
+        if text[-1:] in MARKS and text[:-1].isalpha():
+            return self._known_word(text[:-1]) + self._known_word(text[-1])
+        return b"".join([self._known_word(w) for w in self.words.findall(text)])
 
     def _piece(self, piece: str) -> bytes:
-        if not self.special_pattern or not any(p in piece for p in self.special):
+        if not self.special_pattern or not self.special_pattern.search(piece):
             return self._plain(piece)
         parts = self.special_pattern.split(piece)
         return b"".join(array("i", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in parts)
