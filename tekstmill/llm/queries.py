@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, forest, mixing, quality, token_files, toxicity
+from . import bpe, edit_prints, forest, mixing, quality, token_files, toxicity, warc, wrapper
 
 QUERIES = {
+    "op1_warc_merge": warc.op1_warc_merge,
+    "op2_wrapper_text": wrapper.op2_wrapper_text,
     "op3_ngram_forest": forest.op3_ngram_forest,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_token_files": token_files.op5_token_files,
     "op6_bpe_round_trip": bpe.op6_bpe_round_trip,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_edit_prints": edit_prints.op9_edit_prints,
     "op10_quality": quality.op10_quality,
 }
 
-ORACLES = {"op4_mix_sources": mixing.OP4_SQL}
+ORACLES = {"op1_warc_merge": warc.OP1_SQL, "op4_mix_sources": mixing.OP4_SQL}
