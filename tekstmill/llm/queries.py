@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_prints, forest, mixing, quality, token_files, toxicity, warc, wrapper
+from . import bpe, edit_prints, forest, mixing, nn_descent, quality, token_files, toxicity, warc, wrapper
 
 QUERIES = {
     "op1_warc_merge": warc.op1_warc_merge,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_token_files": token_files.op5_token_files,
     "op6_bpe_round_trip": bpe.op6_bpe_round_trip,
+    "op7_nn_descent": nn_descent.op7_nn_descent,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_edit_prints": edit_prints.op9_edit_prints,
     "op10_quality": quality.op10_quality,

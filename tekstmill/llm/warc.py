@@ -354,10 +354,11 @@ first as (
 )
 select page_id, strlen(payload)::bigint as payload_bytes,
     -- 20 bits of the digest give four letters
-    list_aggregate(list_transform(range(0, 8), g -> list_aggregate(list_transform([15, 10, 5, 0], s ->
+    array_to_string([
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-            1 + ((('0x' || substr(hex, (5 * g + 1)::int, 5))::bigint >> s) & 31)::int, 1)
-    ), 'string_agg', '')), 'string_agg', '') as payload_digest,
+            1 + ((('0x' || substr(hex, (5 * (k // 4) + 1)::int, 5))::bigint >> (15 - 5 * (k % 4))::int) & 31)::int, 1)
+        for k in range(0, 32)
+    ], '') as payload_digest,
     case when page_id = response then 'response' else 'revisit' end as record_type,
     case when page_id <> response then response end as refers_to
 from first
