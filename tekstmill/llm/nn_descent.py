@@ -325,7 +325,7 @@ def near_duplicate_vectors(
     return joined.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", F.col("vec_id")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
