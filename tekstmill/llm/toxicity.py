@@ -1,9 +1,10 @@
 """Toxicity by a weighted lexicon, matched by an Aho-Corasick automaton after folding disguises.
 
-Texts are folded (lower case, no accents, look-alike letters and digit substitutions replaced, anything else a
-blank), then searched for stems at the starts of words. Stems and weights are learned from labelled documents:
-log-odds of stems between toxic and clean ones, kept only where they occur in many contexts, so that a group of
-near copies teaches nothing. A match that begins an exception phrase (given, or learned: contexts known from clean
+Texts are folded (lower case, look-alike letters and digit substitutions replaced, anything else a blank), then
+searched for stems at the starts of words; a word with accents that matches nothing is searched once more without
+them, for stems without any. Stems and weights are learned from labelled documents: log-odds of occurrences in toxic
+and in clean ones, kept only where they occur in many contexts, so that a group of near copies teaches nothing. A
+match that begins an exception phrase (given, or learned: contexts known from clean
 documents only) counts nothing. The matched weight and its density per word give the score by logistic regression.
 
 Inputs: NULL and the empty text score like texts without a match. A NULL id counts as the empty text where rows are
@@ -14,6 +15,7 @@ those with the name of an output are replaced.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -32,11 +34,12 @@ LOOKALIKES = {
     "а": "a", "в": "b", "е": "e", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p",
     "с": "c", "т": "t", "у": "y", "х": "x", "ѕ": "s", "ԁ": "d", "ӏ": "l", "ԝ": "w",
     "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
-    "ı": "i", "ɑ": "a", "ɡ": "g", "ø": "o", "ł": "l", "đ": "d", "ß": "ss",
+    "ı": "i", "ɑ": "a", "ɡ": "g", "ø": "o", "ł": "l", "đ": "d",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i",
 }
 TABLE = str.maketrans(LOOKALIKES)
-MARKS = re.compile("[̀-ͯ​-‍⁠﻿­]+")
+MARKS = re.compile("[\u0300-\u036f]+")
+HIDDEN = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\xad]+")
 GAPS = re.compile(r"[\W_]+")
 STEM_LENGTHS = range(4, 9)
 # Documents learned from, at most. Bounds the training jobs whatever the size of the corpus.
@@ -49,10 +52,14 @@ def fold(text: str) -> str:
     """Words in their plain form, one blank before each and one at the end."""
     text = text.lower()
     if not text.isascii():
-        text = MARKS.sub("", unicodedata.normalize("NFKD", text))
+        text = HIDDEN.sub("", unicodedata.normalize("NFKC", text))
     return f" {GAPS.sub(' ', text.translate(TABLE)).strip()} "
 
 
+def without_accents(folded: str) -> str:
+    return MARKS.sub("", unicodedata.normalize("NFD", folded))
+
+
 @dataclass
 class Lexicon:
     """Folded stems with weights, exception phrases (folded, from a stem on), and the logistic curve of the score."""
@@ -72,11 +79,8 @@ class Lexicon:
         return found
 
 
-def matches(folded: str, lexicon: Lexicon, automaton) -> dict[int, str]:
-    """The heaviest stem at each start of a word, exceptions taken out."""
+def _found(folded: str, lexicon: Lexicon, automaton) -> dict[int, str]:
     best: dict[int, str] = {}
-    if automaton is None:
-        return best
     for end, stem in automaton.iter(folded):
         start = end - len(stem) + 1
         if start not in best or lexicon.weights[stem] > lexicon.weights[best[start]]:
@@ -90,39 +94,68 @@ def matches(folded: str, lexicon: Lexicon, automaton) -> dict[int, str]:
     return best
 
 
+def matches(folded: str, lexicon: Lexicon, automaton) -> list[str]:
+    """The heaviest stem of each word that has one, exceptions taken out."""
+    if automaton is None:
+        return []
+    best = _found(folded, lexicon, automaton)
+    stems = list(best.values())
+    if not folded.isascii():
+        plain = without_accents(folded)
+        hidden = {at: s for at, s in _found(plain, lexicon, automaton).items() if s.isascii()}
+        if hidden:
+            # Words have the same number in both forms.
+            seen = {folded.count(" ", 0, at) for at in best}
+            accented = folded.split(" ")
+            for at, stem in hidden.items():
+                number = plain.count(" ", 0, at)
+                if number not in seen and not accented[number].isascii():
+                    stems.append(stem)
+    return stems
+
+
 def features(texts: list[str], lexicon: Lexicon, automaton) -> np.ndarray:
     """Matched weight, and matched weight per hundred words, both as log(1 + x)."""
     rows = np.zeros((len(texts), 2))
     for i, text in enumerate(texts):
         folded = fold(text)
-        weight = sum(lexicon.weights[s] for s in matches(folded, lexicon, automaton).values())
+        weight = sum(lexicon.weights[s] for s in matches(folded, lexicon, automaton))
         rows[i] = weight, 100 * weight / max(1, folded.count(" ") - 1)
     return np.log1p(rows)
 
 
 def _stem_counts(train: DataFrame) -> DataFrame:
-    """Documents of each label per stem, summed in the task before they are shuffled."""
+    """Toxic documents with a stem, and its occurrences under each label (of one document, five at most), summed in
+    the task before they are shuffled."""
+    names = ["clean", "toxic", "toxic_docs"]
 
     def count(batches):
-        totals = (Counter(), Counter())
+        totals = tuple(Counter() for _ in names)
 
         def flush():
             stems = sorted(set(totals[0]) | set(totals[1]))
             columns = [pa.array(stems, pa.string()), *[pa.array([c[s] for s in stems], pa.int64()) for c in totals]]
             for c in totals:
                 c.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["stem", "clean", "toxic"])
+            return pa.RecordBatch.from_arrays(columns, names=["stem", *names])
 
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                words = set(fold(text).split())
-                totals[y].update({w[:k] for w in words for k in STEM_LENGTHS if len(w) >= k})
+                words = Counter(fold(text).split())
+                own: Counter = Counter()
+                for word, n in words.items():
+                    for k in STEM_LENGTHS:
+                        if k <= len(word):
+                            own[word[:k]] += n
+                totals[y].update({stem: min(n, 5) for stem, n in own.items()})
+                if y:
+                    totals[2].update(own.keys())
                 if len(totals[0]) + len(totals[1]) > 200_000:
                     yield flush()
         yield flush()
 
-    counted = train.mapInArrow(count, "stem string, clean bigint, toxic bigint")
-    return counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = train.mapInArrow(count, "stem string, clean bigint, toxic bigint, toxic_docs bigint")
+    return counted.groupBy("stem").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def _contexts(train: DataFrame, stems: list[str]) -> DataFrame:
@@ -150,24 +183,26 @@ def _contexts(train: DataFrame, stems: list[str]) -> DataFrame:
 
 def learn_lexicon(
     docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions: tuple[str, ...] = (),
-    least_count: int = 6, least_odds: float = 3.0, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
+    least_count: int = 3, least_share: float = 0.005, least_odds: float = 3.0, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
 ) -> Lexicon:
-    """Stems that at least ``least_count`` toxic documents and contexts have, with log-odds of ``least_odds`` or more."""
+    """Stems that ``least_share`` of the toxic documents, ``least_count`` at least, and as many contexts have, with
+    log-odds of ``least_odds`` or more."""
     train = cut_lineage(training_rows(docs, labels, label, rows, doc_id, text), "toxicity-train")
     sizes = dict(train.groupBy("y").count().collect())
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
+    least_count = max(least_count, math.ceil(least_share * n_toxic))
     lexicon = Lexicon(exceptions={fold(e).strip() for e in exceptions})
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     candidates = (
         _stem_counts(train).withColumn("odds", odds)
-        .filter((F.col("toxic") >= least_count) & (F.col("odds") >= least_odds))
-        .orderBy(F.desc("toxic"), F.desc("odds"), "stem").limit(LEXICON_ROWS).collect()
+        .filter((F.col("toxic_docs") >= least_count) & (F.col("odds") >= least_odds))
+        .orderBy(F.desc("toxic_docs"), F.desc("odds"), "stem").limit(LEXICON_ROWS).collect()
     )
     if candidates:
         by_context = _contexts(train, [c["stem"] for c in candidates]).cache()
         varied = by_context.groupBy("stem").agg(F.count_if(F.col("toxic") > 0).alias("n"))
         contexts = dict(varied.collect())
-        known = {c["stem"]: c for c in candidates if contexts.get(c["stem"], 0) >= max(least_count, 0.25 * c["toxic"])}
+        known = {c["stem"]: c for c in candidates if contexts.get(c["stem"], 0) >= max(least_count, 0.8 * c["toxic_docs"])}
         kept = _without_nested(known)
         lexicon.weights = {s: float(known[s]["odds"]) for s in kept}
         benign = by_context.filter((F.col("clean") >= least_count) & (F.col("toxic") == 0) & F.col("stem").isin(kept))
@@ -198,9 +233,9 @@ def _without_nested(known: dict) -> list[str]:
     for stem in reversed(by_length):
         for k in STEM_LENGTHS:
             if k < len(stem):
-                best_longer[stem[:k]] = max(best_longer.get(stem[:k], 0), known[stem]["toxic"])
+                best_longer[stem[:k]] = max(best_longer.get(stem[:k], 0), known[stem]["toxic_docs"])
     for stem in by_length:
-        if best_longer.get(stem, 0) >= 0.95 * known[stem]["toxic"]:
+        if best_longer.get(stem, 0) >= 0.95 * known[stem]["toxic_docs"]:
             continue
         if not any(stem[:k] in kept for k in STEM_LENGTHS if k < len(stem)):
             kept.append(stem)
