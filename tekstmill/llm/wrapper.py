@@ -6,8 +6,8 @@ children of matched roots are aligned in order so that as many elements as possi
 is the same on most pages that have it is template; what varies is a slot. Of the slots, those inside navigation,
 headers, footers, forms, adverts, comments and the like, by element, role or class, are no content; the others are,
 within the ``article`` or ``main`` of the page if it has one, else within the smallest element that holds nearly all
-of their text. Pages that share their longest text count as one when texts are compared, so that a group of copies
-doesn't turn its article into template.
+of their text. Pages that share their main text (the longest that is not on most pages) count as one when texts
+are compared, so that a group of copies doesn't turn its article into template.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in
 page order by one space.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -255,13 +255,23 @@ def align(a: Node, b: Node, known: dict, pairs: list) -> None:
         align(x, y, known, pairs)
 
 
-def _longest(node: Node) -> str:
-    best = "" if node.skip else own_text(node)
-    for kid in node.kids if not node.skip else ():
-        other = _longest(kid)
-        if len(other) > len(best):
-            best = other
-    return best
+def _own_texts(node: Node, out: list[str]) -> None:
+    if not node.skip:
+        if value := own_text(node):
+            out.append(value)
+        for kid in node.kids:
+            _own_texts(kid, out)
+
+
+def _main_texts(trees: list[Node]) -> list[str]:
+    """For each page its longest text among those that at most half of the pages have, or of all if there is none."""
+    found: list[list[str]] = []
+    for tree in trees:
+        found.append([])
+        _own_texts(tree, found[-1])
+    seen = Counter(t for texts in found for t in set(texts))
+    rare = [[t for t in texts if 2 * seen[t] <= len(trees)] for texts in found]
+    return [max(r or texts, key=len, default="") for r, texts in zip(rare, found)]
 
 
 def mark_template(trees: list[Node]) -> None:
@@ -274,7 +284,7 @@ def mark_template(trees: list[Node]) -> None:
     known: dict = {}
     aligned = []
     texts: dict[int, dict[str, set[str]]] = defaultdict(lambda: defaultdict(set))
-    mains = [_longest(t) for t in trees]
+    mains = _main_texts(trees)
     if len(set(mains)) < LEAST_PAGES:
         return
     for tree, main in zip(trees, mains):
