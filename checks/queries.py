@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tekstmill.functions import extract, language
 from tekstmill.functions.minhash import MinHashPlan
+from tekstmill.functions.settle import settle
 from tekstmill.functions.repair import repair_text
 from tekstmill.functions.text import stop_words
 from tekstmill.operators import chain, crawl, extraction, filters, minhash_dedup, sentence_dedup, tables
-from tekstmill.plans.lineage import scratch_path, spread_small_input
+from tekstmill.plans.lineage import scratch_path
 from tekstmill.sources import readers, schema, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +50,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The supplied file is one split; spread by key it occupies all cores."""
-    return spread_small_input(table(spark, sf_dir, "documents", *(columns or ("doc_id", "text"))), "doc_id")
+    return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_input(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 # -- extraction ---------------------------------------------------------------------
@@ -66,8 +66,11 @@ def collapse_newlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = extract.html_to_text(F.col("html")).alias("text")
-    return pages(spark, sf_dir).select("page_id", text).filter(F.col("text").isNotNull())
+    """Bodies, with character references of all kinds added to each article."""
+    more = "<p>It&rsquo;s &#8217;&euro;&iacute;&#x2014; &#38;amp;</p></article>"
+    html = F.replace(F.col("html"), F.lit("</article>"), F.lit(more))
+    text = settle(pages(spark, sf_dir).select("page_id", "html"), "text", extract.html_to_text(html))
+    return text.select("page_id", "text").filter(F.col("text").isNotNull())
 
 
 def json_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,40 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from .references import decode_references
 from .text import bind
 
-# Entities that are decoded, in this order; the ampersand comes last so
-# that no text is decoded twice.
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&#160;", " "),
-    ("&lt;", "<"),
-    ("&#60;", "<"),
-    ("&gt;", ">"),
-    ("&#62;", ">"),
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&aelig;", "æ"),
-    ("&AElig;", "Æ"),
-    ("&oslash;", "ø"),
-    ("&Oslash;", "Ø"),
-    ("&aring;", "å"),
-    ("&Aring;", "Å"),
-    ("&eacute;", "é"),
-    ("&auml;", "ä"),
-    ("&ouml;", "ö"),
-    ("&uuml;", "ü"),
-    ("&szlig;", "ß"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&copy;", "©"),
-    ("&#38;", "&"),
-    ("&amp;", "&"),
-]
-
 # Page parts that are never body text. They are removed whole, one pattern per element,
 # because a shared pattern would need a back-reference for the closing tag.
 DROPPED_ELEMENTS = ["script", "style", "noscript", "head", "nav", "header", "footer", "aside", "form"]
@@ -76,14 +45,9 @@ def collapse_newlines(text: Column) -> Column:
     return F.regexp_replace(text, r"\n+", "\n")
 
 
-def decode_entities(text: Column) -> Column:
-    for entity, char in HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
 def html_to_text(html: Column) -> Column:
-    """Body text of a page: one line per block, NULL where nothing is left."""
+    """Body text of a page: one line per block, NULL where nothing is left. Pass it through ``settle`` before anything
+    names it more than once."""
     page = F.regexp_replace(html, COMMENT, "")
     for name in DROPPED_ELEMENTS:
         page = F.regexp_replace(page, rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "")
@@ -96,7 +60,7 @@ def html_to_text(html: Column) -> Column:
     page = bind(page, body_of)
     page = F.regexp_replace(page, BLOCK_TAG, "\n")
     page = F.regexp_replace(page, ANY_TAG, "")
-    page = decode_entities(page)
+    page = decode_references(page)
     page = F.regexp_replace(page, BLANKS, " ")
     page = F.regexp_replace(page, BLANKS_AT_BREAK, "\n")
     return F.nullif(F.btrim(page, F.lit("\n ")), F.lit(""))
@@ -147,7 +111,7 @@ def clean_mail_body(body: Column) -> Column:
     def rewrite(piece: Column) -> Column:
         link = F.regexp_extract(piece, link_piece, 2)
         before = F.regexp_extract(piece, link_piece, 1)
-        return F.when(link == "", piece).otherwise(F.concat(before, F.coalesce(unwrap_url(link), link)))
+        return F.when(link == "", piece).otherwise(F.concat(before, F.coalesce(F.nullif(unwrap_url(link), F.lit("")), link)))
 
     return F.array_join(F.transform(F.split(text, ">"), rewrite), ">")
 

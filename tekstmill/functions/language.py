@@ -42,13 +42,16 @@ def learn_profiles(
 ) -> DataFrame:
     """The ``size`` most frequent trigrams per language: (lang, gram, n, rank).
 
-    Counting comes first, so the ranking sees one row per distinct trigram, and Spark
+    Words are counted first, so that each distinct one is cut into trigrams once. The
+    ranking then sees one row per distinct trigram, and Spark
     cuts each task's share to ``size`` rows per language before it shuffles them.
     """
+    words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(LETTERS), F.lit(0)))
+    words = docs.select(F.col(lang_col).alias("lang"), words.alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("times"))
     counts = (
-        docs.select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
+        words.select("lang", "times", F.explode(trigrams(F.col("word"))).alias("gram"))
         .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("times").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)

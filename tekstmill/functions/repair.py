@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .extract import decode_entities
+from .references import REFERENCE, decode_references
 from .settle import settle
 
 CURLY_QUOTES = "‘’‚‛“”„‟"
@@ -19,32 +20,52 @@ TERMINAL_ESCAPE = r"\x1B\[[0-9;]*[A-Za-z]"
 COMBINING = r"\p{M}"
 
 
-def mojibake_table() -> list[tuple[str, str]]:
-    """Pairs (broken, repaired): UTF-8 bytes of a character that were read as a
-    single-byte Western encoding. Covers Latin letters up to U+017F and the
-    typographic signs of General Punctuation, longest form first."""
+# Signs of the Western single-byte encoding beyond Latin-1, and the byte of each.
+WESTERN = {bytes([b]).decode("cp1252", errors="ignore"): b for b in range(0x80, 0xA0)}
+WESTERN.pop("", None)
+FOLLOWING = "[\u0080-\u00bf" + "".join(sorted(WESTERN)) + "]"
+MISREAD = f"[\u00c2-\u00df]{FOLLOWING}|[\u00e0-\u00ef]{FOLLOWING}{{2}}|[\u00f0-\u00f4]{FOLLOWING}{{3}}"
+MISREAD_PATTERN = re.compile(MISREAD)
+# Signs that may well stand after a letter: quotes, dashes, the ellipsis, no-break spaces, inverted marks.
+AFTER_LETTERS = frozenset("‘’‚“”„‹›«»–—…•\u00a0¡¿´·\u00ad")
 
-    def misread(char: str) -> set[str]:
-        raw = char.encode("utf-8")
-        windows = "".join(bytes([b]).decode("cp1252", errors="ignore") or chr(b) for b in raw)
-        return {windows, raw.decode("latin-1")}
 
-    chars = [chr(c) for c in [*range(0x00A0, 0x0180), *range(0x2010, 0x2040), 0x20AC, 0x2122]]
-    pairs = {(broken, char) for char in chars for broken in misread(char)}
-    return sorted(pairs, key=lambda p: (-len(p[0]), p[0]))
+def _decoded(run: str) -> str | None:
+    """The character whose UTF-8 bytes were read one by one, NULL where there is none."""
+    try:
+        return bytes(WESTERN.get(c) or ord(c) for c in run).decode("utf-8")
+    except (UnicodeDecodeError, ValueError):
+        return None
 
 
-MOJIBAKE = mojibake_table()
-# Every broken form opens with one of these.
-MOJIBAKE_LEAD = "[" + "".join(sorted({broken[0] for broken, _ in MOJIBAKE})) + "]"
+def _is_certain(run: str) -> bool:
+    """Whether no clean text has such a run: it opens with a letter that stands alone in few languages, or holds a
+    sign that doesn't follow letters. An Å before a quote is not certain."""
+    return run[0] in "ÂÃ" or run.startswith("â€") or not AFTER_LETTERS.issuperset(run[1:])
+
+
+def fix_misread(text: str) -> str:
+    """Decode runs of UTF-8 that were misread as a Western encoding.
+
+    Uncertain runs are decoded only in a text that has certain ones and no letter beyond ASCII outside of runs.
+    """
+    runs = {r: d for r in set(MISREAD_PATTERN.findall(text)) if (d := _decoded(r)) is not None}
+    certain = {r for r in runs if _is_certain(r)}
+    if not certain:
+        return text
+    rest = MISREAD_PATTERN.sub(lambda m: "" if m[0] in runs else m[0], text)
+    trusted = runs if not any(c.isalpha() and not c.isascii() for c in rest) else certain
+    return MISREAD_PATTERN.sub(lambda m: runs[m[0]] if m[0] in trusted else m[0], text)
 
 
 def fix_mojibake(text: Column) -> Column:
-    """Replace the broken forms; only texts that hold a lead character pay for it."""
-    broken, good = (F.split(F.lit("\t".join(side)), "\t") for side in zip(*MOJIBAKE))
-    table = F.arrays_zip(broken.alias("broken"), good.alias("good"))
-    fixed = F.aggregate(table, text, lambda acc, pair: F.replace(acc, pair["broken"], pair["good"]))
-    return F.when(text.rlike(MOJIBAKE_LEAD), fixed).otherwise(text)
+    """Only texts that hold a run go through the Arrow function; for all others it receives NULL."""
+
+    @F.arrow_udf("string")
+    def fix(batch: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else fix_misread(t) for t in batch.to_pylist()], pa.string())
+
+    return F.coalesce(fix(F.when(text.rlike(MISREAD), text)), text)
 
 
 def drop_controls(text: Column) -> Column:
@@ -77,10 +98,10 @@ def repair_text(
     input several times."""
     text = F.col(text_col)
     if entities:
-        plain = text.contains("&") & ~text.contains("<")
-        docs = docs.withColumn(text_col, F.when(plain, decode_entities(text)).otherwise(text))
+        plain = text.rlike(REFERENCE.pattern) & ~text.contains("<")
+        docs = settle(docs, text_col, F.coalesce(decode_references(F.when(plain, text)), text))
     if mojibake:
-        docs = docs.withColumn(text_col, fix_mojibake(text))
+        docs = settle(docs, text_col, fix_mojibake(text))
     if controls:
         docs = docs.withColumn(text_col, drop_controls(text))
     if quotes:

@@ -19,6 +19,9 @@ LANGUAGE, REPETITION, QUALITY, LINE_CLEAN, LINE_STRUCTURE = FILTER_NAMES = (
     "fineweb_quality",
 )
 
+# Rows without a text, which no filter looks at.
+NO_TEXT = "no_text"
+
 Step = tuple[str, Callable[[DataFrame, str], DataFrame]]
 
 
@@ -52,12 +55,13 @@ def apply_chain(docs: DataFrame, steps: Sequence[Step], text_col: str = "text",
     Adds ``rejected_by`` (name of the filter) and ``reason`` (its rule), both NULL for
     survivors, and ``token_count``, NULL for rejected rows. A rejected row keeps the text it had when its filter
     saw it, and later filters are given NULL for it, so they do no work there. Nothing
-    is shuffled.
+    is shuffled. A row whose text is NULL is rejected before the first step, by ``no_text``.
     """
     if repair:
         docs = repair_text(docs, text_col)
+    missing = F.col(text_col).isNull()
     docs = docs.withColumns(
-        {"rejected_by": F.lit(None).cast("string"), "_why": F.lit(None).cast("string")}
+        {"rejected_by": F.when(missing, F.lit(NO_TEXT)), "_why": F.when(missing, F.lit("missing_text"))}
     )
     for name, step in steps:
         live = F.when(F.col("rejected_by").isNull(), F.col(text_col))

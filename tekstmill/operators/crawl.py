@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -18,11 +20,13 @@ def crawl_hosts(log: DataFrame) -> DataFrame:
 
 
 def top_folder(path: Column, root: str) -> Column:
-    """First folder of a path below ``root``, NULL for files outside of it or directly in it."""
-    base = root.rstrip("/") + "/"
-    at = F.locate(base, path)
-    below = F.split(F.substring(path, at + F.lit(len(base)), F.length(path)), "/")
-    return F.when((at > 0) & (F.array_size(below) > 1), F.get(below, F.lit(0)))
+    """First folder of a path below ``root``, NULL for files outside of it or directly in it. Both are compared from
+    their start; a path may have a scheme that the root lacks."""
+    bare = lambda p: re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(?=/)", "", p)
+    base = bare(root).rstrip("/") + "/"
+    plain = F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/", "/")
+    below = F.split(F.substring(plain, F.lit(len(base) + 1), F.length(plain)), "/")
+    return F.when(plain.startswith(base) & (F.array_size(below) > 1), F.get(below, F.lit(0)))
 
 
 def select_hosts(rows: DataFrame, hosts: DataFrame, host: Column) -> DataFrame:

@@ -16,7 +16,9 @@ from ..functions.extract import (
     file_suffix,
     html_to_text,
     path_texts,
+    percent_decode,
 )
+from ..functions.settle import settle
 from ..sources.readers import logger
 
 # Suffixes and the rule that reads them.
@@ -38,7 +40,7 @@ def _records(rows: DataFrame, source: str, now: str) -> DataFrame:
 
 def _located(rows: DataFrame, text: Column) -> DataFrame:
     return rows.select(
-        text.alias("text"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+        text.alias("text"), percent_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("size")
     )
 
 
@@ -54,7 +56,7 @@ def text_records(rows: DataFrame, source: str, now: str) -> DataFrame:
 
 def html_records(rows: DataFrame, source: str, now: str) -> DataFrame:
     """Pages without any body text give no record."""
-    return _records(rows.withColumn("text", collapse_newlines(html_to_text(F.col("text")))), source, now)
+    return _records(settle(rows, "text", collapse_newlines(html_to_text(F.col("text")))), source, now)
 
 
 def mail_records(rows: DataFrame, source: str, now: str) -> DataFrame:
@@ -74,7 +76,7 @@ def json_records(
     if isinstance(kind, T.StructType) and keys[0] not in kind.fieldNames():
         logger.warning("Key %r not found in JSON documents.", keys[0])
     found = values.select("path", "size", F.explode(path_texts(F.col("value"), kind, keys)).alias("text"))
-    return _records(found.withColumn("text", choose_format(F.col("text"), text_format)), source, now)
+    return _records(settle(found, "text", choose_format(F.col("text"), text_format)), source, now)
 
 
 def _json_values(spark: SparkSession, folders: list[str]) -> DataFrame:

@@ -57,19 +57,19 @@ def language_filter(
     docs: DataFrame,
     languages: Iterable[str] = ("da",),
     profiles: Profiles | None = None,
-    min_score: float | None = None,
+    min_score: float = 0.65,
     label_only: bool = False,
     text_col: str = "text",
 ) -> DataFrame:
     """Keep texts whose language is one of ``languages``; adds ``language`` and
     ``language_score``. ``label_only`` adds the columns and rejects nothing.
 
-    ``min_score`` is 0.65 for given profiles. The stop-word profiles that stand in for
-    missing ones leave little lead over related languages, so there the label decides.
+    ``profiles`` come from :func:`learn_profiles`. Those of Spark's stop words
+    (:func:`stop_word_profiles`) must be asked for: they tell related languages apart badly.
     """
-    if min_score is None:
-        min_score = 0.65 if profiles else 0.5
-    scored = score_language(docs, profiles or stop_word_profiles(), text_col)
+    if not profiles:
+        raise ValueError("The language filter needs profiles, learned from labelled texts of the languages in question.")
+    scored = score_language(docs, profiles, text_col)
     if label_only:
         return scored.withColumn("reason", F.lit(None).cast("string"))
     known = F.col("language").isin(list(languages)) & (F.col("language_score") >= min_score)

@@ -61,6 +61,18 @@ def removed_ids(members: DataFrame, key: str = "doc_id") -> DataFrame:
     return members.filter(F.col("node") != F.col("cluster")).select(F.col("node").alias(key), "cluster")
 
 
+def mark_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text_col: str = "text",
+    plan: MinHashPlan = MinHashPlan(),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``docs`` with ``cluster``: NULL where a document stays, else the document that stays in its place."""
+    edges = match_buckets(minhash_signatures(docs, key, text_col, plan), key, plan, hot_rows)
+    return docs.join(removed_ids(duplicate_clusters(edges, hot_rows), key), key, "left")
+
+
 def deduplicate_documents(
     docs: DataFrame,
     key: str = "doc_id",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import bind, lines, run_fields, runs, sentences, words
+from ..functions.text import bind, run_fields, runs, words
 from ..plans.lineage import cut_lineage
 from .skew import HOT_ROWS, join_facts
 
@@ -21,10 +21,10 @@ def check_parallelism(partitions: int | None) -> None:
 
 
 def pieces(text: Column, split_sentences: bool) -> Column:
-    """Sentences, or lines with their line ends, such that the pieces join to the text."""
-    if split_sentences:
-        return sentences(text)
-    return F.regexp_extract_all(text, F.lit(r"[^\n]+\n*"), F.lit(0))
+    """Sentences, or lines with their line ends. The pieces join to the text: marks or line ends that it opens with
+    are a piece of their own."""
+    pattern = r"^[.!?]+|[^.!?]+[.!?]*" if split_sentences else r"^\n+|[^\n]+\n*"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def window_hashes(text: Column, n_sentences: int, split_sentences: bool = True, hex_form: bool = False) -> Column:
@@ -75,8 +75,8 @@ def duplicate_windows(
     index: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every window but its first occurrence. With an ``index`` of hashes (column ``h``),
-    only windows found there are looked at.
+    """Every window but its first occurrence. With an ``index`` of hashes (column ``h``) of text that is known
+    already, every window found there is a duplicate, and no other.
 
     The first document of a hash comes from an aggregation that combines before it
     shuffles; the windows then look up that document in a join that is safe against a
@@ -85,15 +85,17 @@ def duplicate_windows(
     firsts = (
         windows.groupBy("h")
         .agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_times"))
-        .filter(F.col("_times") > 1)
+        .withColumn("_known", F.lit(index is not None))
     )
-    if index is not None:
+    if index is None:
+        firsts = firsts.filter(F.col("_times") > 1)
+    else:
         # On both sides a hash is one row here, however often the corpus repeats it.
         firsts = firsts.join(index.select("h").distinct(), "h", "left_semi")
     # Hashes that occur once are gone by now, and with them most of the table.
     firsts = cut_lineage(firsts, "repeated-windows")
     found = join_facts(windows, firsts, "h", "_times", F.struct(key, "pos"), hot_rows)
-    return found.filter(F.col("again") | (F.col(key) > F.col("_first"))).select(key, "pos", "h")
+    return found.filter(F.col("_known") | F.col("again") | (F.col(key) > F.col("_first"))).select(key, "pos", "h")
 
 
 def cut_windows(

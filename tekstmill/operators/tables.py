@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Aggregates per pass over the table; more pairs take more passes.
 PAIRS_PER_PASS = 300
@@ -17,15 +17,34 @@ def _positional(table: DataFrame) -> DataFrame:
 
 
 def _comparable(table: DataFrame) -> list[tuple[int, int]]:
-    """Position pairs of columns of one type that knows equality."""
+    """Position pairs of columns of one type that knows equality, or of two numeric types."""
     types = [f.dataType for f in table.schema.fields]
+
+    def numeric(kind: T.DataType) -> bool:
+        return isinstance(kind, T.NumericType)
+
     return [
         (i, j)
         for i, j in combinations(range(len(types)), 2)
-        if types[i] == types[j] and not isinstance(types[i], (T.MapType, T.VariantType))
+        if (types[i] == types[j] and _knows_equality(types[i])) or (numeric(types[i]) and numeric(types[j]))
     ]
 
 
+def _knows_equality(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(kind, T.ArrayType):
+        return _knows_equality(kind.elementType)
+    return not isinstance(kind, T.StructType) or all(_knows_equality(f.dataType) for f in kind.fields)
+
+
+def _equal(table: DataFrame, i: int, j: int) -> Column:
+    """Equality of two columns; NaN equals nothing."""
+    same = F.col(f"c{i}") == F.col(f"c{j}")
+    floating = isinstance(table.schema.fields[i].dataType, (T.FloatType, T.DoubleType))
+    return same & ~F.isnan(f"c{i}") if floating else same
+
+
 def column_pair_shares(table: DataFrame, pairs: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """(left_pos, right_pos, equal_rows, total_rows) per column pair, all pairs in one pass.
 
@@ -38,7 +57,7 @@ def column_pair_shares(table: DataFrame, pairs: Sequence[tuple[int, int]] | None
         block = chosen[low : low + PAIRS_PER_PASS]
         counts = plain.agg(
             F.count(F.lit(1)).alias("total_rows"),
-            *[F.count_if(F.col(f"c{i}") == F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in block],
+            *[F.count_if(_equal(plain, i, j)).alias(f"p{i}_{j}") for i, j in block],
         )
         entries = [
             F.struct(

@@ -7,16 +7,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.minhash import MinHashPlan
 from ..operators import chain, crawl, extraction, minhash_dedup, sentence_dedup
 from ..sources import readers, writers
-from .lineage import scratch_path
+from .lineage import cut_lineage, scratch
 
 logger = logging.getLogger(__name__)
 
+# Rows of a file that a row key can tell apart, as a power of two.
+ROW_BITS = 36
 STATS_SCHEMA = "dataset string, outcome string, documents bigint, chars bigint, tokens bigint"
 
 
@@ -47,17 +48,16 @@ def _write_split(
     mode: str = "errorifexists",
     then: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Write survivors and rejections of one computation. The rows wait on the
-    executors' disks between the two writes, and are computed again where one is lost."""
-    results = results.persist(StorageLevel.DISK_ONLY)
-    try:
-        writers.write_documents(results.filter(kept).drop(*drop), kept_dir, compression, mode=mode)
-        removed = results.filter(~kept).drop(*removed_drop)
-        writers.write_documents(removed, removed_dir, compression, mode=mode, partition_by=removed_by)
-        if then is not None:
-            then(results)
-    finally:
-        results.unpersist()
+    """Write survivors and rejections of one computation, which is staged in the shared folder in between: a lost
+    executor repeats nothing of it."""
+    spark = results.sparkSession
+    staged = cut_lineage(results.withColumn("_kept", kept), "staged")
+    is_kept = F.col("_kept")
+    writers.write_documents(staged.filter(is_kept).drop(*drop, "_kept"), kept_dir, compression, mode=mode)
+    removed = staged.filter(~is_kept).drop(*removed_drop, "_kept")
+    writers.write_documents(removed, removed_dir, compression, mode=mode, partition_by=removed_by)
+    if then is not None:
+        then(staged.drop("_kept"))
 
 
 def run_filter(
@@ -85,18 +85,19 @@ def run_filter(
             stats = chain.outcome_stats(rows).filter(F.col("dataset").isNotNull() & F.col("outcome").isNotNull())
             collected.extend(tuple(r) for r in stats.collect())
 
-        _write_split(
-            results,
-            F.col("rejected_by").isNull(),
-            f"{dataset.output_dir}/filter_output",
-            dataset.exclusion_dir,
-            drop=("rejected_by", "reason", "dataset"),
-            removed_drop=("dataset",),
-            removed_by=("rejected_by",),
-            compression=compression,
-            mode=mode,
-            then=note,
-        )
+        with scratch(spark):
+            _write_split(
+                results,
+                F.col("rejected_by").isNull(),
+                f"{dataset.output_dir}/filter_output",
+                dataset.exclusion_dir,
+                drop=("rejected_by", "reason", "dataset"),
+                removed_drop=("dataset",),
+                removed_by=("rejected_by",),
+                compression=compression,
+                mode=mode,
+                then=note,
+            )
     if not collected:
         logger.info("Nothing to do.")
     return merge_stats(spark.createDataFrame(collected, STATS_SCHEMA))
@@ -110,14 +111,17 @@ def merge_stats(stats: DataFrame) -> DataFrame:
 
 
 def with_row_key(docs: DataFrame, key: str = "row_key") -> DataFrame:
-    """Give every row a unique number that follows the order of the files.
+    """Give every row of a file scan a unique number that follows the order of the files and of the rows in them.
 
-    Numbers drawn while a plan runs may differ when it runs again, so the keyed rows are
-    written to the shared folder once and read from there.
+    The number is the place of the row's file in the sorted list of files, then that of the row, so it is the same
+    whenever it is computed and nothing is written for it.
     """
-    path = scratch_path(docs.sparkSession, "keyed")
-    docs.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    files = docs.select(path.alias("_file")).distinct()
+    # One row per file, of which planning the scan has held a list anyway.
+    numbered = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("bigint").alias("_number"))
+    placed = docs.select("*", path.alias("_file"), row.alias("_row")).join(F.broadcast(numbered), "_file")
+    return placed.withColumn(key, F.shiftleft("_number", ROW_BITS) + F.col("_row")).drop("_file", "_row", "_number")
 
 
 def _keyed(docs: DataFrame, key: str | None) -> tuple[DataFrame, str, tuple[str, ...]]:
@@ -142,34 +146,36 @@ def run_sentence_dedup(
     """Cut repeated sentence windows; returns documents by outcome.
 
     ``key`` names a unique column that fixes the corpus order. Without one the rows are
-    numbered first, which writes the corpus once more.
+    numbered by file and position.
     """
     readers.require_paths(input_dir, output_dir, exclusion_dir)
     sentence_dedup.check_parallelism(partitions)
-    docs, key, extra = _keyed(readers.read_documents(spark, input_dir, glob_pattern=glob_pattern), key)
-    results = sentence_dedup.deduplicate_sentences(docs, key, partitions=partitions, **options)
-    collected: list[tuple] = []
+    with scratch(spark):
+        docs = readers.read_documents(spark, input_dir, glob_pattern=glob_pattern, raw_metadata=True)
+        docs, key, extra = _keyed(docs, key)
+        results = sentence_dedup.deduplicate_sentences(docs, key, partitions=partitions, **options)
+        collected: list[tuple] = []
 
-    def note(rows: DataFrame) -> None:
-        outcome = F.when(F.col("kept"), F.lit("kept")).otherwise(F.lit("sent_dedup"))
-        stats = rows.groupBy(outcome.alias("outcome")).agg(
-            F.count(F.lit(1)).alias("documents"),
-            F.sum(F.length("text")).alias("chars"),
-            F.sum("removed_sentences").alias("removed_sentences"),
+        def note(rows: DataFrame) -> None:
+            outcome = F.when(F.col("kept"), F.lit("kept")).otherwise(F.lit("sent_dedup"))
+            stats = rows.groupBy(outcome.alias("outcome")).agg(
+                F.count(F.lit(1)).alias("documents"),
+                F.sum(F.length("text")).alias("chars"),
+                F.sum("removed_sentences").alias("removed_sentences"),
+            )
+            collected.extend(tuple(r) for r in stats.collect())
+
+        _write_split(
+            results,
+            F.col("kept"),
+            f"{output_dir}/sent_dedup_output",
+            f"{exclusion_dir}/sent_dedup",
+            drop=("kept", "removed_sentences", *extra),
+            removed_drop=("kept", *extra),
+            compression=compression,
+            mode=mode,
+            then=note,
         )
-        collected.extend(tuple(r) for r in stats.collect())
-
-    _write_split(
-        results,
-        F.col("kept"),
-        f"{output_dir}/sent_dedup_output",
-        f"{exclusion_dir}/sent_dedup",
-        drop=("kept", "removed_sentences", *extra),
-        removed_drop=("kept", *extra),
-        compression=compression,
-        mode=mode,
-        then=note,
-    )
     return spark.createDataFrame(
         collected, "outcome string, documents bigint, chars bigint, removed_sentences bigint"
     )
@@ -188,11 +194,15 @@ def run_minhash_dedup(
 ) -> DataFrame:
     """Keep one document per near-duplicate cluster; returns documents by outcome."""
     readers.require_paths(input_dir, output_dir, exclusion_dir)
-    docs, key, extra = _keyed(readers.read_documents(spark, input_dir, glob_pattern=glob_pattern), key)
-    kept, removed = minhash_dedup.deduplicate_documents(docs, key, plan=plan)
     kept_dir, removed_dir = f"{output_dir}/deduplicated_output", f"{exclusion_dir}/removed"
-    writers.write_documents(kept.drop(*extra), kept_dir, compression, mode=mode)
-    writers.write_documents(removed.drop(*extra), removed_dir, compression, mode=mode)
+    with scratch(spark):
+        docs = readers.read_documents(spark, input_dir, glob_pattern=glob_pattern, raw_metadata=True)
+        docs, key, extra = _keyed(docs, key)
+        results = minhash_dedup.mark_duplicates(docs, key, plan=plan)
+        _write_split(
+            results, F.col("cluster").isNull(), kept_dir, removed_dir, drop=("cluster", *extra), removed_drop=extra,
+            compression=compression, mode=mode,
+        )
     # Row counts of parquet come from its footers.
     counts = [("kept", spark.read.parquet(kept_dir).count()), ("removed", spark.read.parquet(removed_dir).count())]
     return spark.createDataFrame([c for c in counts if c[1]], "outcome string, documents bigint")

@@ -4,17 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Lists that note the paths handed out, one per open ``scratch`` block.
+_LISTENERS: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``. Only where the
-    setting is missing, as in a local test, a temporary folder takes its place."""
+    setting is missing in a local session, as in a test, a temporary folder takes its
+    place; on a cluster that is an error, since executors would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoints-")
+        folder = context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -22,7 +32,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for written in _LISTENERS:
+        written.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
@@ -36,10 +49,22 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition input that comes in fewer splits than there are cores, such as one
-    unsplittable file; input of a real corpus has more and passes untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def remove_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders that a job wrote below the shared folder, once its outputs stand."""
+    jvm = spark._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Whatever is written below the shared folder inside is removed at the end, and kept where a job fails, so that
+    its cause can be looked into."""
+    written: list[str] = []
+    _LISTENERS.append(written)
+    try:
+        yield
+        remove_scratch(spark, written)
+    finally:
+        _LISTENERS.remove(written)

@@ -79,13 +79,16 @@ def read_documents(
     recursive: bool = True,
     glob_pattern: str | None = None,
     order_by: Sequence[str] = (),
+    raw_metadata: bool = False,
 ) -> DataFrame:
     """Documents from parquet as ``text``, ``id`` and, on demand, ``metadata``.
 
-    Metadata held as JSON text becomes a map. Without ``read_metadata`` the scan reads
+    Metadata held as JSON text becomes a map, or stays as it is with ``raw_metadata``: numbers and nested values keep
+    their types only there. Without ``read_metadata`` the scan reads
     the two key columns only. ``skip`` and ``limit`` count rows in the order of
     ``order_by``, by default file and row position; ``adapter`` is a function of the
-    DataFrame. ``paths_file`` lists one path per line, relative to the folder.
+    DataFrame. ``paths_file`` lists one path per line, relative to the folder; a
+    ``glob_pattern`` beside it is not used.
     """
     if paths_file is None:
         path, options = _selection(data_folder, glob_pattern, recursive)
@@ -108,7 +111,7 @@ def read_documents(
     docs = docs.drop(*renamed.values()).withColumnsRenamed(renamed)
     if not read_metadata:
         return docs.select("text", "id")
-    if "metadata" in docs.columns and isinstance(docs.schema["metadata"].dataType, T.StringType):
+    if not raw_metadata and "metadata" in docs.columns and isinstance(docs.schema["metadata"].dataType, T.StringType):
         docs = docs.withColumn("metadata", decode_metadata("metadata"))
     if default_metadata:
         given = F.create_map(*[F.lit(x) for pair in default_metadata.items() for x in pair])

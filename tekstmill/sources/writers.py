@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Accepted compression names.
@@ -32,16 +34,28 @@ def write_documents(
     max_records_per_file: int = 0,
     mode: str = "errorifexists",
     partition_by: tuple[str, ...] = (),
+    adapter: Callable[[DataFrame], DataFrame] | None = None,
+    max_metadata_keys: int = 1000,
 ) -> None:
     """Documents to parquet, metadata as JSON text.
 
-    ``expand_metadata`` writes each field of a metadata struct as a column instead.
-    Files roll by number of records.
+    ``expand_metadata`` writes each field of a metadata struct, or each key of a map (an error beyond
+    ``max_metadata_keys`` of them), as a column instead. Files roll by number of records. ``adapter`` is a function of
+    the DataFrame, applied before anything else.
     """
     codec = check_compression(docs.sparkSession, compression)
+    docs = docs if adapter is None else docs.transform(adapter)
     if "metadata" in docs.columns:
         kind = docs.schema["metadata"].dataType
-        if expand_metadata and isinstance(kind, T.StructType):
+        if expand_metadata and isinstance(kind, T.MapType):
+            # The columns must be known to plan the write: distinct keys, not rows, come to the driver.
+            keys = docs.select(F.explode(F.map_keys("metadata")).alias("k")).distinct().orderBy("k").limit(max_metadata_keys + 1)
+            names = [r["k"] for r in keys.collect()]
+            if len(names) > max_metadata_keys:
+                raise ValueError(f"Metadata has more than {max_metadata_keys} keys.")
+            others = [c for c in docs.columns if c != "metadata"]
+            docs = docs.select(*others, *[F.try_element_at("metadata", F.lit(n)).alias(n) for n in names])
+        elif expand_metadata and isinstance(kind, T.StructType):
             docs = docs.select(*[c for c in docs.columns if c != "metadata"], "metadata.*")
         elif isinstance(kind, (T.StructType, T.MapType)):
             docs = docs.withColumn("metadata", F.to_json("metadata"))

@@ -128,11 +128,14 @@ def test_ngrams_against_brute_force(spark, texts):
 def test_language(spark, texts):
     danish = "det er ikke noget som helst men vi har ikke været her før og det skal være godt for alle"
     english = "this is not what they have been doing with their own things because of the other ones"
-    docs = filters.language_filter(texts(danish, english, "12 34", None), ["da"])
+    with pytest.raises(ValueError, match="profiles"):
+        filters.language_filter(texts(danish), ["da"])
+    profiles = language.stop_word_profiles()
+    docs = filters.language_filter(texts(danish, english, "12 34", None), ["da"], profiles, min_score=0.5)
     rows = docs.orderBy("doc_id").collect()
     assert rows[0].language == "da" and rows[1].language == "en" and rows[2].language is None
     assert [r.reason for r in rows] == [None, "other_language", "other_language", None]
-    labels = filters.language_filter(texts(danish, english), ["da"], label_only=True)
+    labels = filters.language_filter(texts(danish, english), ["da"], profiles, label_only=True)
     assert reasons(labels) == [None, None]
 
 
@@ -146,6 +149,7 @@ def test_language_held_out_accuracy(spark):
 
 
 def run_chain(docs, **options):
+    options = {"profiles": language.stop_word_profiles(), "language_options": {"min_score": 0.5}} | options
     return chain.apply_chain(docs, chain.default_steps(**options))
 
 
@@ -162,7 +166,8 @@ def test_chain_does_not_shuffle_or_repeat_work(texts):
     out = run_chain(texts(LONG)).filter(F.col("rejected_by").isNull())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert plan.count("ArrowEvalPython") == 3
+    # References, misread runs, normal form, language, n-grams.
+    assert plan.count("ArrowEvalPython") == 5
     assert plan.count(r"regexp_extract_all(lower(") == 1
 
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tekstmill.functions import language
 from tekstmill.operators import chain, tables
 from tekstmill.plans import jobs, lineage
 from tekstmill.sources import readers, schema, writers
@@ -134,7 +135,8 @@ def test_all_jobs_in_a_row(spark, tmp_path):
         jobs.Dataset("a", "i", "o", "e", glob_pattern="")
     data = jobs.Dataset("a", str(source), f"{tmp_path}/out", f"{tmp_path}/excl", "*.jsonl")
     shape = "id string, text string, metadata map<string,string>"
-    stats = jobs.run_filter(spark, [data], chain.default_steps(), shape)
+    steps = chain.default_steps(profiles=language.stop_word_profiles(), language_options={"min_score": 0.5})
+    stats = jobs.run_filter(spark, [data], steps, shape)
     totals = {(r.dataset, r.outcome): r.documents for r in stats.collect()}
     assert totals[("a", "kept")] == 3 and totals[("a", "non_danish_documents")] == 1 and totals[(None, None)] == 4
     kept = spark.read.parquet(f"{tmp_path}/out/filter_output")
