@@ -161,7 +161,8 @@ def deduplicate_sentences(
     check_parallelism(partitions)
     if partitions is not None:
         docs = docs.repartition(partitions, key)
-    windows = sentence_windows(docs, key, text_col, n_sentences, split_sentences)
+    # Written once: they are looked at twice, and cost a pass over all texts.
+    windows = cut_lineage(sentence_windows(docs, key, text_col, n_sentences, split_sentences), "windows")
     duplicates = duplicate_windows(windows, key, index, hot_rows)
     return cut_windows(
         docs, duplicates, key, text_col, n_sentences, split_sentences, min_doc_words, min_num_sentences

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# No more than this many keys are ever broadcast.
-HOT_KEYS = 1000
-# A key below this many rows fits a single task and needs no special path.
+# Rows of one key that go to one place; a key with more is dealt into as many pieces as it needs.
 HOT_ROWS = 100_000
-# Pieces into which the rows of the hot keys are cut.
-HOT_SPREAD = 1024
 
 
 def join_facts(
@@ -19,32 +15,19 @@ def join_facts(
     weight: str,
     spread_by: Column,
     hot_rows: int = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """Inner join of many rows with one fact row per key, safe against hot keys.
+    """Inner join of many rows with one fact row per key, safe against any number of hot keys.
 
-    ``weight`` is a column of ``facts`` with the number of rows a key has. The heaviest
-    keys, at most ``hot_keys`` of them, are broadcast; their rows meet their fact there
-    and are then spread over many partitions, with a salt that no fact carries. All
-    other keys hold at most a ``hot_keys``-th of the rows each (the heaviest have been
-    taken out), and meet their fact in an ordinary shuffled join. Rows and facts are
-    each shuffled once. The weight is not part of the result.
+    ``weight`` is a column of ``facts`` with the number of rows a key has. Facts of a key with more than ``hot_rows``
+    are repeated, once per ``hot_rows``, and the rows of the key are dealt over the copies. How many copies a key has
+    is looked up in the heavy keys alone: each stands for ``hot_rows`` rows at least, so they are few against the rows,
+    and the lookup is left to Spark, which broadcasts them below its limit and otherwise splits what is skewed. No
+    place holds much more than ``hot_rows`` rows of a key. The weight is not part of the result.
     """
     values = [c for c in facts.columns if c not in (key, weight)]
-    hot = (
-        facts.filter(F.col(weight) >= hot_rows)
-        .orderBy(F.desc(weight), F.asc(key))
-        .limit(hot_keys)
-        .select(F.col(key).alias("_hot_key"), *[F.col(v).alias(f"_hot_{v}") for v in values])
-    )
-    is_hot = F.col("_hot_key").isNotNull()
-    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(HOT_SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
-    )
-    # A literal zero would be turned into a condition on the rows and leave the salt out of
-    # the partitioning, so the zero is drawn from the data.
-    zero = F.pmod(F.col(weight), F.lit(1)).cast("bigint")
-    salted = facts.select(key, *values, zero.alias("_salt"), F.lit(True).alias("_found"))
-    joined = marked.join(salted, [key, "_salt"], "left").filter(is_hot | F.col("_found"))
-    chosen = [F.when(is_hot, F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values]
-    return joined.select(*rows.columns, *chosen)
+    pieces = F.greatest(F.ceil(F.col(weight) / hot_rows), F.lit(1)).cast("int")
+    heavy = facts.filter(F.col(weight) > hot_rows).select(F.col(key).alias("_heavy"), pieces.alias("_pieces"))
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_pieces")), F.lit(0)).cast("int")
+    dealt = rows.join(heavy, F.col(key) == F.col("_heavy"), "left").withColumn("_salt", salt).drop("_heavy", "_pieces")
+    copies = facts.select(key, *values, F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_salt"))
+    return dealt.join(copies, [key, "_salt"]).select(*rows.columns, *values)

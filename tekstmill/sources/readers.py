@@ -5,7 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from ..plans.lineage import cut_lineage
 
 logger = logging.getLogger(__name__)
 
@@ -102,9 +104,12 @@ def read_documents(
     docs = reader.parquet(*paths)
     if limit >= 0 or skip > 0:
         order = list(order_by) or ["_metadata.file_path", "_metadata.row_index"]
-        docs = docs.orderBy(*order)
-        docs = docs.offset(skip) if skip > 0 else docs
-        docs = docs.limit(limit) if limit >= 0 else docs
+        if limit >= 0:
+            # The first rows of each task are merged; what is dropped is bounded by what is asked for.
+            docs = docs.orderBy(*order).limit(skip + limit)
+            docs = docs.orderBy(*order).offset(skip) if skip > 0 else docs
+        else:
+            docs = drop_first(docs, order, skip)
     if adapter is not None:
         docs = docs.transform(adapter)
     renamed = {old: new for old, new in ((text_key, "text"), (id_key, "id")) if old != new}
@@ -122,6 +127,22 @@ def read_documents(
     return docs
 
 
+def drop_first(docs: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
+    """All rows but the first ``skip`` in an order, without a task that sees them all.
+
+    Rows are sorted by ranges, and of each range one count tells how many of its first rows go.
+    """
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut_lineage(placed, "ordered")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # One row per range.
+    kept = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").filter(F.col("_before") + place >= skip)
+    return kept.orderBy("_at").select(*docs.columns)
+
+
 def union_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """All datasets under each other with a ``dataset`` column; missing columns are NULL."""
     if not datasets:

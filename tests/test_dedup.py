@@ -79,7 +79,7 @@ def test_join_facts(spark, hot_rows):
     rows = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     facts = rows.groupBy("k").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).filter("k < 40")
     plain = rows.join(facts.drop("n"), "k").select("id", "k", "low")
-    split = join_facts(rows, facts, "k", "n", F.col("id"), hot_rows, hot_keys=5)
+    split = join_facts(rows, facts, "k", "n", F.col("id"), hot_rows)
     assert sorted(split.collect()) == sorted(plain.collect())
 
 
@@ -175,3 +175,23 @@ def test_plan_is_checked():
         MinHashPlan(buckets=0)
     with pytest.raises(ValueError):
         MinHashPlan(shingle_hash="sha1")
+
+
+def test_many_hot_keys_are_split(spark):
+    """Over a thousand heavy keys, with adaptive execution off: no partition holds much more than its share."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.range(1200 * 40 + 9000).select(
+            F.when(F.col("id") < 48_000, F.col("id") % 1200).otherwise(F.lit(5000)).alias("k"), "id"
+        )
+        facts = rows.groupBy("k").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        joined = join_facts(rows, facts, "k", "n", F.col("id"), 20)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.count() == 57_000 and joined.filter("first > id").isEmpty()
+        assert max(sizes) < 2 * 57_000 / 64
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -119,3 +119,14 @@ def test_scratch_is_removed(spark):
         spark.range(3).write.parquet(path)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_skip_alone(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id as string) id", "'t' text").repartition(7).write.parquet(f"{tmp_path}/d")
+    whole = [r.id for r in readers.read_documents(spark, f"{tmp_path}/d", skip=0, limit=1000).collect()]
+    rest = readers.read_documents(spark, f"{tmp_path}/d", skip=300)
+    assert [r.id for r in rest.collect()] == whole[300:]
+    # One task sees the counts of the ranges, none the rows.
+    plan = rest._jdf.queryExecution().analyzed().toString()
+    assert "Offset" not in plan and "GlobalLimit" not in plan
+    assert readers.read_documents(spark, f"{tmp_path}/d", skip=2000).isEmpty()
