@@ -69,9 +69,11 @@ COLLAPSE = r"""select doc_id, regexp_replace(replace(text, chr(10), repeat(chr(1
 from documents"""
 
 
+ADDED = "'<p>It&rsquo;s &#8217;&euro;&iacute;&#x2014; &#38;amp;</p></article>'"
+
+
 def html_sql() -> str:
-    more = "'<p>It&rsquo;s &#8217;&euro;&iacute;&#x2014; &#38;amp;</p></article>'"
-    page = rf"regexp_replace(replace(html, '</article>', {more}), '(?s)<!--.*?-->', '', 'g')"
+    page = rf"regexp_replace(replace(html, '</article>', {ADDED}), '(?s)<!--.*?-->', '', 'g')"
     for name in DROPPED_ELEMENTS:
         page = rf"regexp_replace({page}, '(?is)<{name}\b[^>]*>.*?</{name}\s*>', '', 'g')"
     page = rf"""regexp_replace({page}, '(?is)<div[^>]*class="(?:[^"]*\s)?ad(?:\s[^"]*)?"[^>]*>.*?</div\s*>', '', 'g')"""
@@ -483,6 +485,21 @@ MINHASH_DEDUP = f"""with recursive {CLUSTER_CTE}
 select d.doc_id, coalesce(m.cluster = d.doc_id, true) as kept, coalesce(m.cluster, d.doc_id) as survivor
 from documents d left join members m on m.node = d.doc_id"""
 
+# -- whole jobs ---------------------------------------------------------------------------
+
+JOB_METADATA = """'{"n":' || n_chars || ',"o":{"lang":"' || lang || '","s":["' || source || '"]}}'"""
+JOB_SENTENCES = f"""select r.doc_id, r.text, {JOB_METADATA} as metadata, r.kept
+from ({SENTENCE_DEDUP}) r join documents m using (doc_id)"""
+JOB_MINHASH = f"""select r.doc_id, m.text, {JOB_METADATA} as metadata, r.kept
+from ({MINHASH_DEDUP}) r join documents m using (doc_id)"""
+JOB_FILTER = f"with {chain_ctes(['en'])} select doc_id, text, rejected_by from result"
+
+
+def format_sql() -> str:
+    page = html_sql().replace(f"replace(html, '</article>', {ADDED})", "html")
+    return f"select p.page_id, md5(p.html) as as_text, h.text as as_html from pages p left join ({page}) h using (page_id)"
+
+
 # -- sources and sinks --------------------------------------------------------------------
 
 METADATA_ROUNDTRIP = """select doc_id as id, text, lang, source, n_chars::VARCHAR as n_chars, 'supplied' as origin from documents"""
@@ -536,6 +553,10 @@ ORACLES: dict[str, str] = {
     "duplicate_clusters": CLUSTERS,
     "cluster_report": CLUSTER_REPORT,
     "minhash_dedup": MINHASH_DEDUP,
+    "job_filter": JOB_FILTER,
+    "job_sentence_dedup": JOB_SENTENCES,
+    "job_minhash_dedup": JOB_MINHASH,
+    "choose_format": format_sql(),
     "metadata_roundtrip": METADATA_ROUNDTRIP,
     "read_skip_limit": SKIP_LIMIT,
     "nullable_schema": NULLABLE,

@@ -16,6 +16,7 @@ from tekstmill.functions.settle import settle
 from tekstmill.functions.repair import repair_text
 from tekstmill.functions.text import stop_words
 from tekstmill.operators import chain, crawl, extraction, filters, minhash_dedup, sentence_dedup, tables
+from tekstmill.plans import jobs
 from tekstmill.plans.lineage import scratch_path
 from tekstmill.sources import readers, schema, writers
 
@@ -350,6 +351,53 @@ def minhash_dedup_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept
 
 
+# -- whole jobs ----------------------------------------------------------------------
+
+
+def _job_input(spark: SparkSession, sf_dir: str) -> str:
+    """The documents in the order of their ids, with metadata that holds a number and a nested value."""
+    path = scratch_path(spark, "job-input")
+    meta = F.struct(F.col("n_chars").alias("n"), F.struct("lang", F.array("source").alias("s")).alias("o"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text", F.to_json(meta).alias("metadata"), "doc_id")
+    docs.orderBy("doc_id").drop("doc_id").write.parquet(path)
+    return path
+
+
+def _job_output(spark: SparkSession, folder: str, kept: bool) -> DataFrame:
+    return spark.read.parquet(folder).select(F.col("id").cast("bigint").alias("doc_id"), "text", "metadata", F.lit(kept).alias("kept"))
+
+
+def job_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sentence job writes, survivors and removed documents, read back."""
+    out = scratch_path(spark, "job-sentences")
+    jobs.run_sentence_dedup(spark, _job_input(spark, sf_dir), f"{out}/kept", f"{out}/gone")
+    return _job_output(spark, f"{out}/kept/sent_dedup_output", True).union(_job_output(spark, f"{out}/gone/sent_dedup", False))
+
+
+def job_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "job-minhash")
+    jobs.run_minhash_dedup(spark, _job_input(spark, sf_dir), f"{out}/kept", f"{out}/gone", plan=MD5_PLAN)
+    return _job_output(spark, f"{out}/kept/deduplicated_output", True).union(_job_output(spark, f"{out}/gone/removed", False))
+
+
+def job_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter job from JSON lines to its two outputs."""
+    out = scratch_path(spark, "job-filter")
+    lines = writers.write_jsonl(documents(spark, sf_dir, "doc_id", "text"), out, "docs")
+    steps = chain.default_steps(["en"], _profiles(spark, sf_dir), stop_words("en"))
+    data = jobs.Dataset("docs", lines, f"{out}/kept", f"{out}/gone", "*.gz")
+    jobs.run_filter(spark, [data], steps, "doc_id bigint, text string")
+    kept = spark.read.parquet(f"{out}/kept/filter_output").select("doc_id", "text", F.lit(None).cast("string").alias("rejected_by"))
+    return kept.union(spark.read.parquet(f"{out}/gone").select("doc_id", "text", "rejected_by"))
+
+
+def choose_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages as plain text and as HTML."""
+    rows = pages(spark, sf_dir).select("page_id", F.col("html").alias("as_text"))
+    rows = settle(rows, "as_html", extract.choose_format(F.col("as_text"), "html"))
+    return rows.select("page_id", F.md5(extract.choose_format(F.col("as_text"), "txt").cast("binary")).alias("as_text"), "as_html")
+
+
 # -- sources and sinks ---------------------------------------------------------------
 
 
@@ -444,6 +492,10 @@ QUERIES: dict[str, Query] = {
     "cluster_report": cluster_report,
     "minhash_dedup": minhash_dedup_query,
     "minhash_dedup_fast": minhash_dedup_fast,
+    "job_filter": job_filter,
+    "job_sentence_dedup": job_sentence_dedup,
+    "job_minhash_dedup": job_minhash_dedup,
+    "choose_format": choose_format,
     "metadata_roundtrip": metadata_roundtrip,
     "read_skip_limit": read_skip_limit,
     "nullable_schema": nullable_schema,
