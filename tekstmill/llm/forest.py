@@ -256,7 +256,8 @@ def verified_links(
     ).drop("n")
     # One row per candidate class meets its text again; of copies, those that bear the smallest id.
     texts = docs.select(F.col(doc_id).alias("text_id"), text_or_empty(text).alias("text")).withColumn("class", class_of(F.col("text")))
-    found = texts.join(dealt.withColumnRenamed("text_id", "first_id"), "class").filter(F.col("text_id").eqNullSafe(F.col("first_id")))
+    # Sorted and merged whatever the size, so that a plan tried on little data is the one that runs on much.
+    found = texts.join(dealt.withColumnRenamed("text_id", "first_id").hint("merge"), "class").filter(F.col("text_id").eqNullSafe(F.col("first_id")))
 
     def make():
         return lambda values: [pa.array([shingles(t, plan.words).view(np.int64) for t in values], pa.list_(pa.int64()))]
