@@ -11,8 +11,6 @@ from pathlib import Path
 
 import pyspark
 
-from tekstmill.operators.filters import DUP_NGRAM_SHARES, POLICY_PHRASES, TOP_NGRAM_SHARES
-
 from .queries import BROKEN_LETTERS, LANGUAGES, MD5_PLAN, NOW
 
 # What the tables and the queries hold of these; the library's own tables are not used here.
@@ -22,6 +20,10 @@ HTML_ENTITIES = [
     ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&#x27;", "'"), ("&amp;", "&"),
     ("\x02", "&amp;"),
 ]
+# Published thresholds and phrases.
+TOP_NGRAM_SHARES = {2: 0.20, 3: 0.18, 4: 0.16}
+DUP_NGRAM_SHARES = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+POLICY_PHRASES = ["terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies"]
 CURLY_QUOTES, STRAIGHT_QUOTES = "‘’‚‛“”„‟", "''''" + '""""'
 
 WORDS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}]+')"
