@@ -21,6 +21,8 @@ LANGUAGE, REPETITION, QUALITY, LINE_CLEAN, LINE_STRUCTURE = FILTER_NAMES = (
 
 # Rows without a text, which no filter looks at.
 NO_TEXT = "no_text"
+# Lines that are no JSON.
+BROKEN = "broken_record"
 
 Step = tuple[str, Callable[[DataFrame, str], DataFrame]]
 
@@ -49,19 +51,26 @@ def default_steps(
     ]
 
 
-def apply_chain(docs: DataFrame, steps: Sequence[Step], text_col: str = "text", repair: bool = True) -> DataFrame:
+def apply_chain(
+    docs: DataFrame, steps: Sequence[Step], text_col: str = "text", repair: bool = True, broken: str | None = None
+) -> DataFrame:
     """Run the steps in order over whole rows and note the first rejection.
 
     Adds ``rejected_by`` (name of the filter) and ``reason`` (its rule), both NULL for
     survivors, and ``token_count``, NULL for rejected rows. A rejected row keeps the text it had when its filter
     saw it, and later filters are given NULL for it, so they do no work there. Nothing
-    is shuffled. A row whose text is NULL is rejected before the first step, by ``no_text``.
+    is shuffled. A row whose text is NULL is rejected before the first step, by ``no_text``, or by ``broken_record``
+    where the column ``broken`` holds the line that could not be read.
     """
     if repair:
         docs = repair_text(docs, text_col)
+    unread = F.lit(False) if broken is None else F.col(broken).isNotNull()
     missing = F.col(text_col).isNull()
     docs = docs.withColumns(
-        {"rejected_by": F.when(missing, F.lit(NO_TEXT)), "_why": F.when(missing, F.lit("missing_text"))}
+        {
+            "rejected_by": F.when(unread, F.lit(BROKEN)).when(missing, F.lit(NO_TEXT)),
+            "_why": F.when(unread, F.lit("unreadable")).when(missing, F.lit("missing_text")),
+        }
     )
     for name, step in steps:
         live = F.when(F.col("rejected_by").isNull(), F.col(text_col))

@@ -72,13 +72,14 @@ def run_filter(
     """Filter JSON-lines datasets and return their merged statistics.
 
     Survivors go to ``<output_dir>/filter_output``, rejections to the exclusion folder,
-    in one sub-folder ``rejected_by=<filter>`` each.
+    in one sub-folder ``rejected_by=<filter>`` each; lines that are no JSON and documents without
+    text have their own there, and are counted like any other rejection.
     """
     steps = chain.default_steps() if steps is None else steps
     collected: list[tuple] = []
     for dataset in datasets:
-        docs = readers.read_jsonl(spark, dataset.input_dir, dataset.glob_pattern, schema, partitions)
-        results = chain.apply_chain(docs, steps).withColumn("dataset", F.lit(dataset.name))
+        docs = readers.read_jsonl(spark, dataset.input_dir, dataset.glob_pattern, schema, partitions, broken="_line")
+        results = chain.apply_chain(docs, steps, broken="_line").withColumn("dataset", F.lit(dataset.name))
 
         def note(rows: DataFrame) -> None:
             # One row per filter at the most.
@@ -91,7 +92,7 @@ def run_filter(
                 F.col("rejected_by").isNull(),
                 f"{dataset.output_dir}/filter_output",
                 dataset.exclusion_dir,
-                drop=("rejected_by", "reason", "dataset"),
+                drop=("rejected_by", "reason", "dataset", "_line"),
                 removed_drop=("dataset",),
                 removed_by=("rejected_by",),
                 compression=compression,

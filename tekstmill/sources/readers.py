@@ -47,17 +47,24 @@ def read_jsonl(
     glob_pattern: str | None = None,
     schema: T.StructType | str | None = None,
     partitions: int | None = None,
+    broken: str | None = None,
 ) -> DataFrame:
-    """Documents from JSON lines, plain or compressed. Broken lines are dropped.
+    """Documents from JSON lines, plain or compressed. Broken lines are dropped, or kept
+    as they are in a column named by ``broken``, where they can be counted.
 
     Give a ``schema`` on large input: without one Spark reads the data once more to
     infer it. A gzip file cannot be split; ``partitions`` spreads few large ones.
     """
     path, options = _selection(input_dir, glob_pattern)
-    reader = spark.read.options(mode="DROPMALFORMED", **options)
+    reader = spark.read.options(mode="PERMISSIVE" if broken else "DROPMALFORMED", **options)
+    if broken:
+        reader = reader.option("columnNameOfCorruptRecord", broken)
     if schema is not None:
-        reader = reader.schema(schema)
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(broken, T.StringType())]) if broken else schema)
     docs = reader.json(path)
+    if broken and broken not in docs.columns:
+        docs = docs.withColumn(broken, F.lit(None).cast("string"))
     return docs if partitions is None else docs.repartition(partitions)
 
 

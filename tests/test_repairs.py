@@ -130,3 +130,13 @@ def test_skip_alone(spark, tmp_path):
     plan = rest._jdf.queryExecution().analyzed().toString()
     assert "Offset" not in plan and "GlobalLimit" not in plan
     assert readers.read_documents(spark, f"{tmp_path}/d", skip=2000).isEmpty()
+
+
+def test_broken_lines_are_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text('{"id": "a", "text": "one"}\n{"id": "b"}\nno json\n')
+    data = jobs.Dataset("d", f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/gone", "*.jsonl")
+    stats = jobs.run_filter(spark, [data], [], "id string, text string").filter("dataset = 'd'").collect()
+    assert {r.outcome: r.documents for r in stats} == {"kept": 1, "no_text": 1, "broken_record": 1, None: 3}
+    assert spark.read.parquet(f"{tmp_path}/gone/rejected_by=broken_record").first()["_line"] == "no json"
+    assert spark.read.parquet(f"{tmp_path}/out/filter_output").columns == ["id", "text", "token_count"]
