@@ -44,7 +44,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode_documents(bpe.encode_documents(docs, path, keys=["doc_id", "source"]), path)
+    coded = bpe.encode_documents(docs, path, keys=["doc_id", "source"], decoded="decoded")
     digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     return coded.select("doc_id", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", digest)
 

@@ -22,13 +22,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import append_columns, map_texts, read_table, text_or_empty
+from .common import append_columns, map_texts, read_table
 
 # The white space of Unicode.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = re.compile(f"[^{SPACE}]+")
-# Pieces that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 500_000
+# Pieces and words that a worker remembers before a new generation begins; bounds its memory. What is still met moves
+# on from the generation before. Words cost more to encode than pieces to put together from words.
+KNOWN_PIECES, KNOWN_WORDS = 60_000, 100_000
 MARKS = tuple(",.;:!?")
 
 
@@ -59,6 +60,8 @@ class ForcedBoundaryBPE:
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.known_pieces: dict[str, bytes] = {}
         self.known_words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _inner_pairs(self) -> set[tuple[int, int]]:
         """The byte pairs that occur inside a token."""
@@ -102,7 +105,8 @@ class ForcedBoundaryBPE:
     def _known_word(self, word: str) -> bytes:
         found = self.known_words.get(word)
         if found is None:
-            found = self.known_words[word] = self._word(word)
+            found = self.old_words.get(word)
+            self.known_words[word] = found = self._word(word) if found is None else found
         return found
 
     def _plain(self, text: str) -> bytes:
@@ -127,11 +131,13 @@ class ForcedBoundaryBPE:
         known = self.known_pieces
         found = PIECES.findall(text)
         for piece in set(found).difference(known):
-            known[piece] = self._piece(piece)
+            old = self.old_pieces.get(piece)
+            known[piece] = self._piece(piece) if old is None else old
         ids = np.frombuffer(b"".join(map(known.__getitem__, found)), np.int32)
-        for memory in (self.known_pieces, self.known_words):
-            if len(memory) > REMEMBERED:
-                memory.clear()
+        if len(self.known_pieces) > KNOWN_PIECES:
+            self.old_pieces, self.known_pieces = self.known_pieces, {}
+        if len(self.known_words) > KNOWN_WORDS:
+            self.old_words, self.known_words = self.known_words, {}
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -144,26 +150,36 @@ def load(path: str) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(path)
 
 
-def encode_documents(df: DataFrame, path: str, text: str = "text", keys: list[str] | None = None) -> DataFrame:
-    """``df``, or its ``keys`` only, with ``token_ids`` (array<int>, empty for NULL)."""
+def _ids_array(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))
+
+
+def encode_documents(
+    df: DataFrame, path: str, text: str = "text", keys: list[str] | None = None, decoded: str | None = None
+) -> DataFrame:
+    """``df``, or its ``keys`` only, with ``token_ids`` (array<int>, empty for NULL) and, in a column named
+    ``decoded``, on demand the text that they decode to."""
 
     def make():
         bpe = load(path)
 
         def encode(texts: list[str]) -> list[pa.Array]:
             ids = [bpe.encode(t) for t in texts]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            return [pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))]
+            out = [_ids_array(ids)]
+            if decoded is not None:
+                out.append(pa.array([bpe.decode(x.tolist()) for x in ids], pa.string()))
+            return out
 
         return encode
 
-    fields = [("token_ids", "array<int>")]
+    fields = [("token_ids", "array<int>"), *([(decoded, "string")] if decoded is not None else [])]
     return append_columns(df, text, make, fields) if keys is None else map_texts(df, keys, text, make, fields)
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", output: str = "decoded") -> DataFrame:
-    """``df`` with the text of its ids (empty for NULL or none)."""
+    """``df`` with the text of its ids (empty for NULL or none), for ids that are stored."""
     others = [c for c in df.columns if c.lower() != output.lower()]
     schema = df.select(*others).schema.add(output, "string")
 
@@ -185,10 +201,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids = encode_documents(read_table(spark, sf_dir, "documents"), path, keys=["doc_id"])
-    return decode_documents(ids, path).select(
+    coded = encode_documents(read_table(spark, sf_dir, "documents"), path, keys=["doc_id"], decoded="decoded")
+    return coded.select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(text_or_empty("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -82,6 +82,9 @@ def append_columns(
                 out = [*batch.columns[:-1], *[a if a.type == t else a.cast(t) for a, t in zip(arrays, types)]]
                 names = [*kept, *[n for n, _ in fields]]
                 yield pa.RecordBatch.from_arrays(out, names=names)
+            # Workers outlive their tasks; what a batch has held goes back to the system.
+            del whole
+            pa.default_memory_pool().release_unused()
 
     return passed.mapInArrow(work, schema)
 
