@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import SPACE
+from .bpe import SPACE, byte_letters
 from .common import cut_lineage, open_store, read_table, scratch_path, text_or_empty, token
 
 SEQUENCE = 2048
@@ -31,9 +31,21 @@ SEQUENCE = 2048
 BATCH_SEQUENCES = 512
 END_ID = 0
 # White space and what follows it up to the next white space. The byte-level pattern of words never joins a letter,
-# digit or sign to white space after it, so these pieces are encoded independently of each other.
+# digit or sign to white space after it, so these pieces are encoded independently of each other. Where no two blanks
+# meet, a text may be cut before each blank alone, as the pattern takes the last blank of a run to the word after it.
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-REMEMBERED = 400_000
+# Pieces that a worker remembers before a new generation begins; bounds its memory.
+REMEMBERED = 900_000
+MARKS = tuple(".,;:!?")
+# The letter that stands for the blank in byte-level tokens.
+BLANK = byte_letters()[32]
+
+
+def _pieces(text: str) -> tuple[list[str], list[str]]:
+    if "  " in text:
+        return PIECES.findall(text), []
+    first, *others = text.split(" ")
+    return [first] if first else [], others
 
 
 class Encoder:
@@ -46,19 +58,66 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        # Ids of tokens that begin with a blank.
+        tokens = sorted((i, t) for t, i in self.tokenizer.get_vocab().items())
+        self.opens = np.zeros(tokens[-1][0] + 1, bool)
+        self.opens[[i for i, t in tokens if t.startswith(BLANK)]] = True
+        # By piece, and by piece without the blank before it.
+        self.plain: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
+    def _learn(self, pieces: list[str], known: dict[str, bytes], before: str) -> None:
+        """Encode pieces in one call: run together where each begins with a blank, which then begins a token of each,
+        otherwise with a special token between them. Those that hold special tokens or begin with white space go alone."""
+        rest = pieces
+        if not before or any(s in "".join(pieces) for s in self.special) or any(not p[:1].strip() for p in pieces):
+            alone = [p for p in pieces if any(s in p for s in self.special) or not p[:1].strip()] if before or self.special else pieces
+            for piece in alone:
+                ids = self.tokenizer.encode(before + piece, add_special_tokens=False).ids
+                known[piece] = np.array(ids, self.width).tobytes()
+            rest = [p for p in pieces if p not in known]
+        if not rest:
+            return
+        mark, mark_id = next(iter(self.special.items()), ("", -1))
+        joined = before + before.join(rest) if before else mark.join(rest)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.width)
+        raw, size = ids.tobytes(), ids.itemsize
+        if before:
+            starts = (size * np.flatnonzero(self.opens[ids])).tolist()
+            ends = [*starts[1:], len(raw)]
+        else:
+            marks = np.flatnonzero(ids == mark_id)
+            starts, ends = [0, *(size * (marks + 1)).tolist()], [*(size * marks).tolist(), len(raw)]
+        known.update((p, raw[a:b]) for p, a, b in zip(rest, starts, ends, strict=True))
+
+    def _missing(self, pieces: set[str], known: dict[str, bytes], old: dict[str, bytes], before: str) -> None:
+        """Bring ``known`` up to date. A mark after letters is always a token of its own, so such pieces are put
+        together from the word and the mark."""
+        new = [p for p in pieces if p not in old]
+        known.update((p, old[p]) for p in pieces.difference(new))
+        marked = {p for p in new if p[-1:] in MARKS and p[:-1].isalpha() and max(p) < "\u0250"}
+        words = {p[:-1] for p in marked}
+        known.update((w, old[w]) for w in words if w in old)
+        need = [*{w for w in words if w not in known}.union(p for p in new if p not in marked)]
+        for low in range(0, len(need), 100):
+            self._learn(need[low : low + 100], known, before)
+        if marked:
+            self._learn([m for m in MARKS if m not in self.plain], self.plain, "")
+            known.update((p, known[p[:-1]] + self.plain[p[-1]]) for p in marked)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [PIECES.findall(t) for t in texts]
-        missing = list(set().union(*cut).difference(self.known))
-        for low in range(0, len(missing), 10_000):
-            part = missing[low : low + 10_000]
-            for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[piece] = np.array(coded.ids, self.width).tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, c)), self.width) for c in cut]
+        if len(self.spaced) > REMEMBERED or len(self.plain) > REMEMBERED:
+            self.old, self.plain, self.spaced = (self.plain, self.spaced), {}, {}
+        # Either all pieces, or the first and those after a blank.
+        cut = [_pieces(t) for t in texts]
+        plain, spaced = self.plain, self.spaced
+        self._missing(set().union(*[a for a, _ in cut]).difference(plain), plain, self.old[0], "")
+        self._missing(set().union(*[b for _, b in cut]).difference(spaced), spaced, self.old[1], " ")
+        runs = (b"".join([*map(plain.__getitem__, a), *map(spaced.__getitem__, b)]) for a, b in cut)
+        return [np.frombuffer(run, self.width) for run in runs]
 
 
 @lru_cache(2)
