@@ -3,7 +3,6 @@
 import itertools
 
 import pytest
-from pyspark.sql import functions as F
 
 import public_tokenizers
 from tekstmill.llm import bpe, edit_prints, forest, mixing, nn_descent, quality, token_files, toxicity, warc, wrapper
