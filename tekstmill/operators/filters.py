@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.language import Profiles, score_language, stop_word_profiles
+from ..functions.language import Profiles, score_language
 from ..functions.ngrams import repeated_ngram_chars
 from ..functions.settle import settle
 from ..functions.text import (
