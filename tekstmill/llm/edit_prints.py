@@ -8,8 +8,13 @@ random positions, as many in each octave [64 * 2^k, 64 * 2^(k+1)), two bits each
 comparable fingerprints: ``<length of the output in hex>:<samples in base64>``. Their likeness is the share of equal
 samples, each octave weighted by its length and freed of the agreement of chance.
 
-Near copies are found by bands: 16 samples each, drawn from the octaves that a text fills. Texts with a band in common
-are tied to the first of it, ties are verified by the likeness of the fingerprints, and components become classes.
+Near copies are found by bands of samples. Lengths are graded in steps of 1.25; a grade draws its samples evenly from
+the outputs below it, and a text has the bands of the grades that it can share with a text at the threshold. Samples
+per band grow with the number of fingerprints, so that bands meet seldom by chance, and the number of bands follows
+from the threshold and a target recall, for the worst place that the differences can have. Texts with a band in common
+are tied to the first of it and ties are verified by the likeness of the fingerprints. Where texts of a band are left
+that no tie connects, its texts and those of the bands they share are compared in blocks, all with all. Components
+become classes.
 
 Inputs: NULL counts as the empty text, whose fingerprint is ``0:`` (alike to itself by 1, to any other by 0). Equal
 texts have equal fingerprints; so repeated rows do. Texts of any length are walked whole. Rows go by descending id,
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from functools import lru_cache
 from itertools import accumulate
 from operator import getitem, itemgetter
@@ -33,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tekstmill.operators.components import connected_components
 
 from .common import cut_lineage, read_table, text_or_empty
+from .forest import _roots
 
 PERIOD = 1 << 10
 CLASSES = 32
@@ -41,7 +48,11 @@ SAMPLES = 64
 # Octaves for which positions are drawn: outputs of up to 2^40 steps.
 OCTAVES = 35
 CHANCE = 0.25
-BANDS, BAND_SAMPLES = 8, 16
+# Step from one grade of lengths to the next, and the share of pairs at the threshold that bands are to find.
+GRADE = 1.25
+RECALL = 0.999
+# Fingerprints of a component that meet at a time.
+BLOCK_ROWS = 1024
 
 
 @lru_cache(1)
@@ -238,45 +249,116 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     return found.filter("place = 1").select("doc_id", *FIELDS).unionByName(last)
 
 
-@lru_cache(OCTAVES)
-def _bands(top: int) -> np.ndarray:
-    """Which samples make the bands of texts that fill ``top`` octaves: half of them from the longest one."""
-    random = np.random.default_rng(100 + top)
-    longest = random.integers((top - 1) * SAMPLES, top * SAMPLES, (BANDS, BAND_SAMPLES // 2))
-    return np.concatenate([longest, random.integers(0, top * SAMPLES, (BANDS, BAND_SAMPLES // 2))], axis=1)
+@lru_cache(1)
+def _grades() -> np.ndarray:
+    """Lengths at which grades begin."""
+    steps = np.arange(int(math.log(OCTAVE << (OCTAVES - 1), GRADE)))
+    return np.unique(np.floor(GRADE**steps).astype(np.int64))
 
 
-def band_keys(print_: str) -> list[int]:
-    """Keys of the bands over all octaves that the output fills, and over one less, so that a text somewhat shorter
-    or longer than an octave has bands in common with both sides. A text that fills none has its samples as key."""
-    length, bits = samples(print_)
-    filled = int(np.searchsorted(STARTS, length, side="right")) - 1
-    flat, keys = bits.ravel().astype(np.uint64), []
-    for top in {max(1, filled), max(1, filled - 1)} if filled else ():
-        for band, index in enumerate(_bands(top)):
-            value = 0
-            for bit in flat[index].tolist():
-                value = value << 2 | bit
-            keys.append(value << 16 | top << 8 | band)
-    return keys or [int.from_bytes(hashlib.blake2b(print_.encode(), digest_size=7).digest(), "big")]
+def band_samples(count: int) -> int:
+    """Samples of a band, so that of ``count`` fingerprints few meet by chance."""
+    return max(8, math.ceil(math.log2(max(2, count)) / 2 + 1))
 
 
-def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", column: str = "fingerprint") -> DataFrame:
-    """(fingerprint, class_id) of every distinct fingerprint: the smallest id among those that verified ties lead to."""
-    distinct = prints.groupBy(F.col(column).alias("fingerprint")).agg(F.min(doc_id).alias("first_id"))
-    distinct = cut_lineage(distinct.withColumn("node", F.unhex(F.md5("fingerprint"))), "prints")
+def band_count(threshold: float, width: int, recall: float = RECALL) -> int:
+    """Bands of ``width`` samples that find a pair at the threshold with the target probability, even if all its
+    differences are below the grade and what is beyond it is equal."""
+    beyond = 1 - 1 / GRADE
+    below = max(0.0, (threshold - beyond) / (1 - beyond))
+    meet = (CHANCE + (1 - CHANCE) * below) ** width
+    return 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
+
+
+@lru_cache(1024)
+def _bands(grade: int, bands: int, width: int) -> np.ndarray:
+    """Which samples make the bands of a grade: each from an octave by its share of the outputs below the grade."""
+    top = int(_grades()[grade])
+    random = np.random.default_rng([100, grade, width])
+    inside = (_positions() < top).sum(1)
+    shares = np.clip(top - STARTS[:-1], 0, np.diff(STARTS)) * (inside > 0)
+    octave = random.choice(OCTAVES, (bands, width), p=shares / shares.sum())
+    # Positions of an octave are sorted, so those below the grade are its first.
+    return octave * SAMPLES + np.floor(random.random((bands, width)) * inside[octave]).astype(np.int64)
+
+
+def band_keys(print_: str, threshold: float, bands: int, width: int) -> np.ndarray:
+    """Keys of the bands of all grades that a text of this length shares with one at the threshold. Only the empty
+    text has none; it is like no other."""
+    length, bits = samples(print_)
+    if length == 0:
+        return np.zeros(0, np.int64)
+    grades = _grades()
+    high = int(np.searchsorted(grades, length, side="right"))
+    # The shorter of a pair has a share of at least the threshold, and a grade not far below its length.
+    low = min(high - 1, int(np.searchsorted(grades, int(length * threshold), side="right")) - 1)
+    flat, keys = bits.ravel().astype(np.uint64), []
+    for grade in range(max(0, low), high):
+        values = np.zeros(bands, np.uint64)
+        for column in flat[_bands(grade, bands, width)].T:
+            values = (values ^ column) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
+            values ^= values >> np.uint64(29)
+        values ^= np.uint64(grade << 32) + np.arange(bands, dtype=np.uint64)
+        keys.append((values * np.uint64(0xD6E8FEB86659FD93)).view(np.int64))
+    return np.concatenate(keys)
+
+
+def _laid_out(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Output lengths, and samples by octave and row; 255 where there are none."""
+    found = [samples(p) for p in prints]
+    rows = np.full((max((len(b) for _, b in found), default=0), len(prints), SAMPLES), 255, np.uint8)
+    for i, (length, bits) in enumerate(found):
+        inside = _positions()[: len(bits)] < length
+        rows[: len(bits), i] = np.where(inside, bits, 255)
+    return np.array([n for n, _ in found], np.int64), rows
+
+
+def likeness_table(left: list[str], right: list[str]) -> np.ndarray:
+    """``likeness`` of every fingerprint of ``left`` with every one of ``right``, none of them equal."""
+    (n, a), (m, b) = _laid_out(left), _laid_out(right)
+    total = np.zeros((len(left), len(right)), np.float64)
+    shorter = np.minimum(n[:, None], m[None, :])
+    for k in range(min(len(a), len(b))):
+        same = sum((a[k] == v).astype(np.float32) @ (b[k] == v).astype(np.float32).T for v in range(4))
+        inside = np.minimum((a[k] < 255).sum(1)[:, None], (b[k] < 255).sum(1)[None, :])
+        alike = np.clip((same / np.maximum(1, inside) - CHANCE) / (1 - CHANCE), 0, 1)
+        total += alike * np.clip(shorter - STARTS[k], 0, STARTS[k + 1] - STARTS[k])
+    return total / np.maximum(1, np.maximum(n[:, None], m[None, :]))
+
+
+def _ties(distinct: DataFrame, threshold: float, bands: int, width: int) -> DataFrame:
+    """(key, node, first) of every fingerprint but the first of each band."""
 
     def keys(batches):
         for batch in batches:
-            found = [band_keys(p) for p in batch.column("fingerprint").to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-            flat = pa.array([k for f in found for k in f], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(ends, flat)], names=["node", "keys"])
-
-    bands = distinct.select("node", "fingerprint").mapInArrow(keys, "node binary, keys array<bigint>")
-    bands = cut_lineage(bands.select("node", F.explode("keys").alias("key")), "print-bands")
-    firsts = bands.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ties = bands.join(firsts, "key").filter(F.col("node") > F.col("first")).select("node", "first").distinct()
+            for low in range(0, batch.num_rows, 256):
+                some = batch.slice(low, 256)
+                found = [band_keys(p, threshold, bands, width) for p in some.column("fingerprint").to_pylist()]
+                nodes = np.repeat(some.column("node").to_numpy(), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(nodes)], names=["key", "node"])
+
+    def tie(batches):
+        last, first = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+            begins = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
+            firsts = np.where(at < 0, first, node[at])
+            last, first = key[-1], firsts[-1]
+            rest = ~begins
+            columns = [pa.array(c[rest], pa.int64()) for c in (key, node, firsts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "first"])
+
+    found = distinct.select("node", "fingerprint").mapInArrow(keys, "key bigint, node bigint")
+    # Each row is looked at once, so a band of any size costs its members only.
+    met = found.repartition("key").sortWithinPartitions("key", "node")
+    return cut_lineage(met.mapInArrow(tie, "key bigint, node bigint, first bigint"), "print-ties")
+
+
+def _verified(ties: DataFrame, distinct: DataFrame, threshold: float) -> DataFrame:
+    """(src, dst) of the ties at the threshold or above."""
     left = distinct.select("node", F.col("fingerprint").alias("a"))
     right = distinct.select(F.col("node").alias("first"), F.col("fingerprint").alias("b"))
 
@@ -286,8 +368,78 @@ def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_i
             good = pa.array([likeness(x, y) >= threshold for x, y in zip(a, b)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("first")], names=["src", "dst"]).filter(good)
 
-    edges = ties.join(left, "node").join(right, "first").mapInArrow(verify, "src binary, dst binary")
-    groups = connected_components(edges).withColumnRenamed("cluster", "c")
+    pairs = ties.select("node", "first").distinct()
+    edges = pairs.join(left, "node").join(right, "first").mapInArrow(verify, "src bigint, dst bigint")
+    return cut_lineage(edges, "print-edges")
+
+
+def _compared(ties: DataFrame, groups: DataFrame, distinct: DataFrame, threshold: float, block: int = BLOCK_ROWS) -> DataFrame:
+    """(src, dst) that connect what is alike in bands whose texts verified ties leave apart."""
+    members = ties.select("key", "node").union(ties.select("key", F.col("first").alias("node")).distinct())
+    known = members.join(groups, "node", "left").withColumn("c", F.coalesce("cluster", "node"))
+    # The only pair of a band of two is verified already.
+    apart = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("n"))
+    keys = apart.filter("n > 2 and low < high").select("key")
+    open_ = ties.join(keys, "key", "left_semi").select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct()
+    met = cut_lineage(connected_components(open_).select("node", F.col("cluster").alias("component")), "print-open")
+    size = met.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = met.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(distinct.select("node", "fingerprint"), "node")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    paired = dealt.select("*", other).select(
+        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "fingerprint"
+    )
+    names = ["component", "low", "high"]
+    paired = paired.repartition(*names).sortWithinPartitions(*names, "node")
+
+    def compare(batches):
+        def answer(key, rows):
+            nodes = np.array([r[1] for r in rows], np.int64)
+            left, right = ([i for i, r in enumerate(rows) if r[0] == k] for k in key[1:])
+            prints = [r[2] for r in rows]
+            links = np.zeros((len(rows), len(rows)), bool)
+            links[np.ix_(left, right)] = likeness_table([prints[i] for i in left], [prints[i] for i in right]) >= threshold
+            links |= links.T
+            np.fill_diagonal(links, False)
+            roots = _roots(links)
+            moved = np.flatnonzero(roots != np.arange(len(rows)))
+            return nodes[moved], nodes[roots[moved]]
+
+        def table(found):
+            columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
+            return pa.RecordBatch.from_arrays(columns, names=["src", "dst"])
+
+        current, held, found = None, [], []
+        for batch in batches:
+            for *key, part, node, print_ in zip(*[batch.column(c).to_pylist() for c in (*names, "block", "node", "fingerprint")]):
+                if key != current:
+                    if held:
+                        found.append(answer(current, held))
+                    current, held = key, []
+                    if len(found) > 1000:
+                        yield table(found)
+                        found = []
+                held.append((part, node, print_))
+        if held:
+            found.append(answer(current, held))
+        if found:
+            yield table(found)
+
+    return paired.mapInArrow(compare, "src bigint, dst bigint")
+
+
+def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", column: str = "fingerprint") -> DataFrame:
+    """(fingerprint, class_id) of every distinct fingerprint: the smallest id among those that verified ties lead to."""
+    distinct = prints.groupBy(F.col(column).alias("fingerprint")).agg(F.min(doc_id).alias("first_id"))
+    distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()), "prints")
+    width = band_samples(distinct.count())
+    ties = _ties(distinct, threshold, band_count(threshold, width), width)
+    edges = _verified(ties, distinct, threshold)
+    groups = cut_lineage(connected_components(edges), "print-verified")
+    more = _compared(ties, groups, distinct, threshold)
+    stars = groups.filter("node <> cluster").select(F.col("node").alias("src"), F.col("cluster").alias("dst"))
+    both = stars.union(more.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")))
+    groups = connected_components(both.distinct()).withColumnRenamed("cluster", "c")
     whole = distinct.join(groups, "node", "left").withColumn("c", F.coalesce("c", "node"))
     whole = cut_lineage(whole.select("fingerprint", "first_id", "c"), "print-groups")
     ids = whole.groupBy("c").agg(F.min("first_id").alias("class_id"))
