@@ -6,8 +6,9 @@ It is refined by neighbours-of-neighbours joins: the neighbours of each node, bo
 whatever is nearer to one of them than the last of its list enters the list. Lists whose last neighbour is above the
 threshold are saturated; they are enlarged to the whole component that the threshold edges form, in which all pairs
 are computed in double precision, block against block, and only those at the threshold or above are kept. After each
-refinement the recall is audited: a bounded sample of nodes is compared with all nodes, and more rounds follow until
-the target is reached.
+refinement the recall is audited: samples of nodes are compared with all nodes until they have shown enough links, and
+more rounds follow until the target is reached. Where it is not, or where links are so few that the samples have come
+to hold all nodes, the links of all nodes are taken from that comparison, which is exact.
 
 Inputs: vectors that are NULL, empty or zero, or hold NULL or non-finite components, link with nothing, and neither do
 vectors of different lengths. Copies link with each other. Repeated rows are copies. A NULL id counts as the largest
@@ -39,8 +40,11 @@ class DescentPlan:
     passes: int = 3
     signs: int = 30
     rounds: int = 5
-    # Sampled nodes of an audit, and the recall at which refinement ends.
+    # Nodes of the first sample of an audit and of further ones, the links that samples must show, and the recall at
+    # which refinement ends.
     audited: int = 512
+    compared: int = 4096
+    links: int = 200
     recall: float = 0.995
 
 
@@ -197,35 +201,61 @@ def _components(edges: DataFrame, plan: DescentPlan) -> DataFrame:
     return cut_lineage(found, "vector-components")
 
 
-def audit(nodes: DataFrame, components: DataFrame, plan: DescentPlan) -> tuple[int, int]:
-    """(links, links found) of a sample of nodes with all nodes; the sample, of bounded size, goes to every task."""
-    sample = nodes.select("node", "dim", "vec").orderBy(F.xxhash64(F.col("node"), F.lit(5)), "node").limit(plan.audited).collect()
-    if not sample:
-        return 0, 0
-    by_dim = {d: [r for r in sample if r["dim"] == d] for d in {r["dim"] for r in sample}}
-    queries = {d: (np.array([r["node"] for r in rows]), _unit(np.array([r["vec"] for r in rows], float))) for d, rows in by_dim.items()}
+def _true_links(nodes: DataFrame, plan: DescentPlan, part: int, parts: int) -> DataFrame:
+    """(u, v, s): links of a part of the nodes with all nodes; the part goes to every task."""
+    chosen = F.pmod(F.xxhash64(F.col("node"), F.lit(5)), F.lit(parts)) == part
+    sample = nodes.filter(chosen).select("node", "dim", "vec").toArrow().combine_chunks()
+    dims_ = sample["dim"].to_numpy()
+    queries = {}
+    for dim in np.unique(dims_).tolist():
+        rows = sample.take(pa.array(np.flatnonzero(dims_ == dim)))
+        queries[dim] = rows["node"].to_numpy(), _unit(_matrix(rows["vec"].combine_chunks(), np.float64))
 
     def compare(batches):
-        for batch in batches:
-            dims, ids = _dims(batch.column("vec")), batch.column("node").to_numpy()
-            for dim in np.unique(dims):
-                if dim in queries:
-                    rows = np.flatnonzero(dims == dim)
-                    names, q = queries[dim]
-                    s = q @ _unit(_matrix(batch.column("vec").take(pa.array(rows)), np.float64)).T
-                    i, j = np.nonzero(s >= plan.threshold)
-                    other = names[i] != ids[rows][j]
-                    yield _edges(names[i][other], ids[rows][j][other], s[i, j][other])
-
-    true = nodes.select("node", "vec").mapInArrow(compare, "u bigint, v bigint, s float")
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1024):
+                batch = whole.slice(low, 1024)
+                dims, ids = _dims(batch.column("vec")), batch.column("node").to_numpy()
+                for dim in np.unique(dims).tolist():
+                    if dim in queries:
+                        rows = np.flatnonzero(dims == dim)
+                        names, q = queries[dim]
+                        s = q @ _unit(_matrix(batch.column("vec").take(pa.array(rows)), np.float64)).T
+                        i, j = np.nonzero(s >= plan.threshold)
+                        other = names[i] != ids[rows][j]
+                        yield _edges(names[i][other], ids[rows][j][other], s[i, j][other])
+
+    found = nodes.select("node", "vec").mapInArrow(compare, "u bigint, v bigint, s float")
+    return cut_lineage(found, "vector-audit")
+
+
+def audit(nodes: DataFrame, components: DataFrame, plan: DescentPlan) -> tuple[int, int, DataFrame, bool]:
+    """Links and links found of samples of nodes with all nodes, the links themselves, and whether all nodes were
+    compared. Samples are added until they show ``plan.links`` links."""
     ends = [components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("u", "v")]
-    both = true.join(ends[0], "u", "left").join(ends[1], "v", "left")
-    row = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cu") == F.col("cv")).alias("found")).first()
-    return row["n"], row["found"]
+
+    def count(true: DataFrame) -> tuple[int, int]:
+        both = true.join(ends[0], "u", "left").join(ends[1], "v", "left")
+        row = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cu") == F.col("cv")).alias("found")).first()
+        return row["n"], row["found"]
+
+    total = nodes.count()
+    true = _true_links(nodes, plan, 0, max(1, -(-total // plan.audited)))
+    links, found = count(true)
+    if links >= plan.links:
+        return links, found, true, total <= plan.audited
+    parts, true, links, found = max(1, -(-total // plan.compared)), None, 0, 0
+    for part in range(parts):
+        more = _true_links(nodes, plan, part, parts)
+        n, seen = count(more)
+        true, links, found = more if true is None else true.union(more), links + n, found + seen
+        if links >= plan.links:
+            break
+    return links, found, true, part == parts - 1
 
 
 def neighbour_graph(nodes: DataFrame, plan: DescentPlan) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Components of the refined graph, and the audits by round."""
+    """Components of the refined graph, which has the target recall, and the audits by round."""
     edges = _block_pass(nodes, plan, 0)
     for number in range(1, plan.passes):
         edges = edges.union(_block_pass(nodes, plan, number))
@@ -234,13 +264,21 @@ def neighbour_graph(nodes: DataFrame, plan: DescentPlan) -> tuple[DataFrame, lis
     for number in range(plan.rounds):
         edges = cut_lineage(_descend(edges, nodes, plan), "neighbours")
         components = _components(edges, plan)
-        links, found = audit(nodes, components, plan)
+        links, found, true, whole = audit(nodes, components, plan)
         audits.append((links, found))
-        if found >= plan.recall * links:
-            break
+        if found >= plan.recall * links and (links >= plan.links or found == links):
+            return components, audits
+        edges = edges.union(true)
+        if whole:
+            return _components(edges, plan), [*audits, (links, links)]
         # More starting points for what the joins don't reach.
         edges = cut_lineage(_best(edges.union(_block_pass(nodes, plan, plan.passes + number)), plan), "neighbours")
-    return components, audits
+    parts = max(1, -(-nodes.count() // plan.compared))
+    true = [_true_links(nodes, plan, part, parts) for part in range(parts)]
+    links = sum(t.count() for t in true)
+    for more in true:
+        edges = edges.union(more)
+    return _components(edges, plan), [*audits, (links, links)]
 
 
 def _links(nodes: DataFrame, components: DataFrame, plan: DescentPlan, block: int = 1024) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tekstmill.llm import edit_prints
+from tekstmill.llm import edit_prints, nn_descent
 
 
 def edited(random, text, edits):
@@ -48,3 +48,16 @@ def test_copies_meet_beside_the_first_of_a_band(spark):
     for block in (1024, 1):
         edges = edit_prints._compared(ties, none, distinct, 0.8, block).collect()
         assert {(r["src"], r["dst"]) for r in edges} == {(2, 1)}
+
+
+def test_recall_is_enforced(spark):
+    # Pairs in a table of many blocks, with lists too short to find them.
+    random = np.random.default_rng(8)
+    x = random.standard_normal((300, 24))
+    x = np.concatenate([x, x + 0.22 * random.standard_normal(x.shape) * np.abs(x).mean()])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    exact = (unit @ unit.T >= 0.95).sum(1) - 1
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    plan = nn_descent.DescentPlan(block=4, passes=1, neighbours=1, joined=1, rounds=1, audited=32, compared=200)
+    rows = sorted(nn_descent.near_duplicate_vectors(table, plan).collect())
+    assert exact.sum() > 200 and [r["n_links"] for r in rows] == exact.tolist()
