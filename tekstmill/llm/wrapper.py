@@ -5,8 +5,8 @@ with that of the page that has most elements, by simple tree matching: two trees
 children of matched roots are aligned in order so that as many elements as possible match. An element whose own text
 is the same on most pages that have it is template; what varies is a slot. Of the slots, those inside navigation,
 headers, footers, forms, adverts, comments and the like, by element, role or class, are no content; the others are,
-within the ``article`` or ``main`` of the page if it has one, else within the smallest element that holds nearly all
-of their text. Pages that share their main text (the longest that is not on most pages) count as one when texts
+within the ``article`` or ``main`` of the page if it has one, else within the smallest element that holds all of their
+text outside links and is no paragraph, heading or the like. Pages that share their main text (the longest that is not on most pages) count as one when texts
 are compared, so that a group of copies doesn't turn its article into template.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in
@@ -55,6 +55,10 @@ SIBLINGS = {
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Blocks of text, which are taken with what stands beside them.
+LEAVES = frozenset("p pre li dt dd td th h1 h2 h3 h4 h5 h6 blockquote figcaption caption address summary".split())
+# Elements whose text may be a mere label, of so many words at most.
+BARE, LABEL_WORDS = frozenset("div section center".split()), 3
 NO_CONTENT = frozenset("nav footer aside form button select menu dialog noscript template svg canvas object head".split())
 NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 NO_CONTENT_CLASSES = frozenset(
@@ -274,6 +278,25 @@ def _main_texts(trees: list[Node]) -> list[str]:
     return [max(r or texts, key=len, default="") for r, texts in zip(rare, found)]
 
 
+def _labels(node: Node, out: list[tuple[Node, str]]) -> None:
+    value = own_text(node)
+    if node.tag in BARE and not node.kids and value and len(value.split()) <= LABEL_WORDS and value[-1] not in ".!?:;…":
+        out.append((node, value))
+    for kid in node.kids:
+        _labels(kid, out)
+
+
+def _mark_labels(trees: list[Node]) -> None:
+    """Mark labels that all pages share, where the pages are copies and show no other template."""
+    found: list[list[tuple[Node, str]]] = [[] for _ in trees]
+    for tree, labels in zip(trees, found):
+        _labels(tree, labels)
+    shared = set.intersection(*({v for _, v in labels} for labels in found))
+    for labels in found:
+        for node, value in labels:
+            node.template = value in shared
+
+
 def mark_template(trees: list[Node]) -> None:
     """Mark the elements of aligned trees whose own text most of them share."""
     if len(trees) < LEAST_PAGES:
@@ -286,6 +309,7 @@ def mark_template(trees: list[Node]) -> None:
     texts: dict[int, dict[str, set[str]]] = defaultdict(lambda: defaultdict(set))
     mains = _main_texts(trees)
     if len(set(mains)) < LEAST_PAGES:
+        _mark_labels(trees)
         return
     for tree, main in zip(trees, mains):
         pairs: list = []
@@ -348,7 +372,7 @@ def main_text(root: Node) -> str:
         node = root
         while True:
             heaviest = max(node.kids, key=lambda k: weights.get(id(k), 0), default=None)
-            if heaviest is None or weights.get(id(heaviest), 0) < 0.9 * weights[id(node)] or not weights[id(node)]:
+            if heaviest is None or heaviest.tag in LEAVES or weights.get(id(heaviest), 0) < weights[id(node)] or not weights[id(node)]:
                 break
             node = heaviest
         regions = [node]

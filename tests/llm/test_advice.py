@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tekstmill.llm import edit_prints, nn_descent
+from tekstmill.llm import edit_prints, nn_descent, wrapper
 
 
 def edited(random, text, edits):
@@ -61,3 +61,10 @@ def test_recall_is_enforced(spark):
     plan = nn_descent.DescentPlan(block=4, passes=1, neighbours=1, joined=1, rounds=1, audited=32, compared=200)
     rows = sorted(nn_descent.near_duplicate_vectors(table, plan).collect())
     assert exact.sum() > 200 and [r["n_links"] for r in rows] == exact.tolist()
+
+
+def test_text_beside_a_long_paragraph_stays():
+    long, short = "many words " * 450, "some words " * 27
+    page = f"<body><div><h1>The title</h1><p>{short}</p><p>{long}</p></div></body>"
+    assert wrapper.extract_block([page]) == [" ".join(f"The title {short} {long}".split())]
+    assert wrapper.extract_block([f"<body><div><div>Lead.</div><div><pre>{long}</pre></div></div></body>"]) == [f"Lead. {long}".strip()]
