@@ -4,7 +4,8 @@ The pages of a host are dealt into blocks of bounded size. In each block, the el
 with that of the page that has most elements, by simple tree matching: two trees match where their roots do, and the
 children of matched roots are aligned in order so that as many elements as possible match. An element whose own text
 is the same on most pages that have it is template; what varies is a slot. Of the slots, those inside navigation,
-headers, footers, forms, adverts, comments and the like, by element, role or class, are no content; the others are,
+headers, footers, forms, adverts, comments and the like, by element, role or class (a class
+or id doesn't count where the element holds much of what varies on the page), are no content; the others are,
 within the ``article`` or ``main`` of the page if it has one, else within the smallest element that holds all of their
 text outside links and is no paragraph, heading or the like. Pages that share their main text (the longest that is not on most pages) count as one when texts
 are compared, so that a group of copies doesn't turn its article into template.
@@ -69,13 +70,17 @@ NO_CONTENT_CLASSES = frozenset(
     " notices announcement announcements notification feedback teaser teasers".split()
 )
 HEADER_CLASSES = frozenset("header topbar top".split())
+# What a part of a page holds that is not boilerplate, and shares of the page's letters from which it is none.
+LANDMARKS = frozenset("article main h1".split())
+SMALL_SHARE, LARGE_SHARE = 0.3, 0.9
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parts", "skip", "linked", "sign", "size", "template")
+    __slots__ = ("tag", "kids", "parts", "skip", "listed", "linked", "sign", "size", "template")
 
-    def __init__(self, tag: str, skip: bool) -> None:
-        self.tag, self.skip = tag, skip
+    def __init__(self, tag: str, skip: bool, listed: int = 0) -> None:
+        # Listed: its class or id is one of boilerplate, whether it is skipped depends on the page.
+        self.tag, self.skip, self.listed = tag, skip, listed
         # Child elements, and in page order texts (str) and places of child elements (int).
         self.kids: list[Node] = []
         self.parts: list = []
@@ -84,22 +89,54 @@ class Node:
         self.template = False
 
 
-def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
+def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> tuple[bool, int]:
+    """Whether an element is no content by its kind, and whether it may be none by its class or id: 1 by a part of a
+    word, 2 by a whole one."""
     if tag in NO_CONTENT or tag == "header" and not inside_article:
-        return True
-    if not attributes:
-        return False
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        return True, 0
+    listed = 0
+    for name, a, b, c in ATTRIBUTE.findall(attributes or ""):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, 0
         if name == "role" and value in NO_CONTENT_ROLES:
-            return True
+            return True, 0
         if name in ("class", "id"):
-            words = set(WORD.findall(value))
-            if words & NO_CONTENT_CLASSES or not inside_article and words & HEADER_CLASSES:
-                return tag not in ("body", "html", "main")
-    return False
+            for level, words in ((1, WORD.findall(value)), (2, value.split())):
+                if NO_CONTENT_CLASSES.intersection(words) or not inside_article and HEADER_CLASSES.intersection(words):
+                    listed = max(listed, level) if tag not in ("body", "html", "main", "article") else 0
+    return False, listed
+
+
+def settle(root: Node) -> None:
+    """Skip the listed elements that hold a small part of the page's letters outside templates; those listed by a whole
+    word also with more, unless they hold the article or the title or nearly all letters. A part of a word decides for
+    no element with the article or the title."""
+    held: dict[int, tuple[int, bool]] = {}
+
+    def weigh(node: Node) -> tuple[int, bool]:
+        letters = 0 if node.template else len(own_text(node))
+        landmark = node.tag in LANDMARKS
+        for kid in node.kids:
+            if not kid.skip or kid.listed:
+                n, has = weigh(kid)
+                letters, landmark = letters + n, landmark or has
+        held[id(node)] = letters, landmark
+        return letters, landmark
+
+    def decide(node: Node) -> None:
+        for kid in node.kids:
+            if kid.listed:
+                letters, landmark = held[id(kid)]
+                if kid.listed == 1:
+                    kid.skip = not landmark and letters <= SMALL_SHARE * total
+                else:
+                    kid.skip = letters <= (SMALL_SHARE if landmark else LARGE_SHARE) * total
+            if not kid.skip:
+                decide(kid)
+
+    total, _ = weigh(root)
+    decide(root)
 
 
 def parse(page: str) -> Node:
@@ -165,13 +202,13 @@ def parse(page: str) -> Node:
                 k -= 1
             if names[k] in same:
                 pop(k)
-        skip = _is_boilerplate(tag, attributes, articles > 0)
-        if tag in INLINE and not skip:
+        skip, listed = _is_boilerplate(tag, attributes, articles > 0)
+        if tag in INLINE and not (skip or listed):
             stack.append(stack[-1])
             links += tag == "a"
         else:
             parent = stack[-1]
-            node = Node(tag, skip)
+            node = Node(tag, skip, listed)
             parent.parts.append(len(parent.kids))
             parent.kids.append(node)
             stack.append(node)
@@ -180,6 +217,7 @@ def parse(page: str) -> Node:
         names.append(tag)
     if at < len(page):
         text(page[at:])
+    settle(root)
     return root
 
 
@@ -387,6 +425,8 @@ def extract_block(pages: list[str]) -> list[str]:
     """Main texts of pages of one host."""
     trees = [parse(p) for p in pages]
     mark_template(trees)
+    for tree in trees:
+        settle(tree)
     return [main_text(t) for t in trees]
 
 

@@ -68,3 +68,11 @@ def test_text_beside_a_long_paragraph_stays():
     page = f"<body><div><h1>The title</h1><p>{short}</p><p>{long}</p></div></body>"
     assert wrapper.extract_block([page]) == [" ".join(f"The title {short} {long}".split())]
     assert wrapper.extract_block([f"<body><div><div>Lead.</div><div><pre>{long}</pre></div></div></body>"]) == [f"Lead. {long}".strip()]
+
+
+def test_class_words_do_not_drop_the_article():
+    text = "The whole article of this page. " * 20
+    for start in ("div class='content has-sidebar'", "div id='page' class='no-sidebar'", "article class='post comments-open alert'", "div class='layout top'", "div class='top'"):
+        tag = start.split()[0]
+        page = f"<body><div class='sidebar'>Other pages</div><{start}><p>{text}</p></{tag}></body>"
+        assert wrapper.extract_block([page]) == [text.strip()]
