@@ -3,7 +3,8 @@
 Texts are folded (lower case, look-alike letters and digit substitutions replaced, anything else a blank), then
 searched for stems at the starts of words; a word with accents that matches nothing is searched once more without
 them, for stems without any. Stems and weights are learned from labelled documents: log-odds of occurrences in toxic
-and in clean ones, kept only where they occur in many contexts, so that a group of near copies teaches nothing. A
+and in clean ones, counted in one text of each group of near copies (texts of nearly the same words) and kept only where
+they occur in several contexts, so that a group of near copies teaches no more than one of them. A
 match that begins an exception phrase (given, or learned: contexts known from clean
 documents only) counts nothing. The matched weight and its density per word give the score by logistic regression.
 
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import append_columns, cut_lineage, map_texts, read_table
+from .forest import ForestPlan, class_of, near_duplicate_classes
 from .training import fit_logistic, held_out, sigmoid, training_rows
 
 # Letters and digits that stand for a Latin letter.
@@ -46,6 +48,8 @@ STEM_LENGTHS = range(4, 9)
 TRAIN_ROWS = 10_000
 # Stems that training may keep.
 LEXICON_ROWS = 5_000
+# Near copies: most of their words are the same, so that short texts are some as well.
+COPIES = ForestPlan(words=1)
 
 
 def fold(text: str) -> str:
@@ -124,6 +128,15 @@ def features(texts: list[str], lexicon: Lexicon, automaton) -> np.ndarray:
     return np.log1p(rows)
 
 
+def without_copies(train: DataFrame) -> DataFrame:
+    """(text, y) of one text of each group of near copies under each label."""
+    named = cut_lineage(train.select(F.monotonically_increasing_id().alias("doc_id"), "text", "y"), "toxicity-named")
+    groups = near_duplicate_classes(named, COPIES).select("class", "class_id")
+    joined = named.withColumn("class", class_of(F.col("text"))).join(groups, "class")
+    one = joined.groupBy("class_id", "y").agg(F.min("text").alias("text"))
+    return cut_lineage(one.select("text", "y"), "toxicity-distinct")
+
+
 def _stem_counts(train: DataFrame) -> DataFrame:
     """Toxic documents with a stem, and its occurrences under each label (of one document, five at most), summed in
     the task before they are shuffled."""
@@ -185,24 +198,25 @@ def learn_lexicon(
     docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions: tuple[str, ...] = (),
     least_count: int = 3, least_share: float = 0.005, least_odds: float = 3.0, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
 ) -> Lexicon:
-    """Stems that ``least_share`` of the toxic documents, ``least_count`` at least, and as many contexts have, with
-    log-odds of ``least_odds`` or more."""
+    """Stems that ``least_share`` of the toxic documents without near copies, ``least_count`` at least, and as many
+    contexts have, with log-odds of ``least_odds`` or more."""
     train = cut_lineage(training_rows(docs, labels, label, rows, doc_id, text), "toxicity-train")
-    sizes = dict(train.groupBy("y").count().collect())
+    counted = without_copies(train)
+    sizes = dict(counted.groupBy("y").count().collect())
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     least_count = max(least_count, math.ceil(least_share * n_toxic))
     lexicon = Lexicon(exceptions={fold(e).strip() for e in exceptions})
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     candidates = (
-        _stem_counts(train).withColumn("odds", odds)
+        _stem_counts(counted).withColumn("odds", odds)
         .filter((F.col("toxic_docs") >= least_count) & (F.col("odds") >= least_odds))
         .orderBy(F.desc("toxic_docs"), F.desc("odds"), "stem").limit(LEXICON_ROWS).collect()
     )
     if candidates:
-        by_context = _contexts(train, [c["stem"] for c in candidates]).cache()
+        by_context = _contexts(counted, [c["stem"] for c in candidates]).cache()
         varied = by_context.groupBy("stem").agg(F.count_if(F.col("toxic") > 0).alias("n"))
         contexts = dict(varied.collect())
-        known = {c["stem"]: c for c in candidates if contexts.get(c["stem"], 0) >= max(least_count, 0.8 * c["toxic_docs"])}
+        known = {c["stem"]: c for c in candidates if contexts.get(c["stem"], 0) >= least_count}
         kept = _without_nested(known)
         lexicon.weights = {s: float(known[s]["odds"]) for s in kept}
         benign = by_context.filter((F.col("clean") >= least_count) & (F.col("toxic") == 0) & F.col("stem").isin(kept))

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tekstmill.llm import edit_prints, nn_descent, wrapper
+from tekstmill.llm import edit_prints, nn_descent, toxicity, wrapper
 
 
 def edited(random, text, edits):
@@ -76,3 +76,16 @@ def test_class_words_do_not_drop_the_article():
         tag = start.split()[0]
         page = f"<body><div class='sidebar'>Other pages</div><{start}><p>{text}</p></{tag}></body>"
         assert wrapper.extract_block([page]) == [text.strip()]
+
+
+def test_near_copies_do_not_hide_a_stem(spark):
+    random = np.random.default_rng(9)
+    words = ["".join(chr(c) for c in random.integers(97, 123, 6)) for _ in range(400)]
+    some = lambda n: " ".join(random.choice(words, n))
+    rows = [(f"{some(10)} grubling {some(10)}", 1) for _ in range(40)] + [(some(20), 0) for _ in range(200)]
+    copied = some(25).split()
+    for i in range(300):
+        rows.append((" ".join([*copied[:12], "grubling", *copied[12:], f"end{i}"]), 1))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+    assert any("grubling".startswith(s) for s in toxicity.learn_lexicon(docs, labels).weights)
