@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_prints, forest, mixing, nn_descent, quality, token_files, toxicity, warc, wrapper
+from . import (
+    bpe, edit_prints, fim, forest, mixing, nn_descent, quality, token_files, toxicity, url_filter, warc, wrapper,
+)
 
 QUERIES = {
     "op1_warc_merge": warc.op1_warc_merge,
@@ -15,6 +17,8 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_edit_prints": edit_prints.op9_edit_prints,
     "op10_quality": quality.op10_quality,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
-ORACLES = {"op1_warc_merge": warc.OP1_SQL, "op4_mix_sources": mixing.OP4_SQL}
+ORACLES = {"op1_warc_merge": warc.OP1_SQL, "op4_mix_sources": mixing.OP4_SQL, "op11_fill_in_middle": fim.OP11_SQL}
