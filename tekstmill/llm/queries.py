@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    bpe, edit_prints, fim, forest, mixing, nn_descent, quality, token_files, toxicity, url_filter, warc, wrapper,
+    bpe, edit_prints, fim, forest, mixing, nn_descent, quality, runs, token_files, toxicity, url_filter, warc, wrapper,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_edit_prints": edit_prints.op9_edit_prints,
     "op10_quality": quality.op10_quality,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_periodic_runs": runs.op12_periodic_runs,
     "op13_url_filter": url_filter.op13_url_filter,
 }
 
