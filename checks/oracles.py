@@ -131,6 +131,50 @@ select doc_id, '/in/' || source || '/' || doc_id || '.v2.' || s as path,
   case when s in ('txt', 'md') then 'text' when s in ('html', 'json') then s else 'unsupported' end as route
 from p"""
 
+JSON_SHAPES = r"""with c as (select conv_id, turn, role, text, (conv_id + turn) % 6 as shape from conversations)
+select conv_id, turn, unnest(case shape
+  when 0 then [{'outcome': 'text', 'detail': null::varchar, 'position': '', 'text': text}]
+  when 1 then [{'outcome': 'text', 'detail': null::varchar, 'position': '0', 'text': text},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '1', 'text': upper(role)}]
+  when 2 then [{'outcome': 'text', 'detail': null::varchar, 'position': '0', 'text': text},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '1', 'text': role},
+               {'outcome': 'missing', 'detail': 'text', 'position': '2', 'text': null::varchar}]
+  when 3 then [{'outcome': 'missing', 'detail': 'text', 'position': '', 'text': null::varchar}]
+  when 4 then [{'outcome': 'text', 'detail': null::varchar, 'position': '0,0', 'text': text},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '1,0,0', 'text': role},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '2', 'text': turn::varchar},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '3', 'text': 'True'},
+               {'outcome': 'text', 'detail': null::varchar, 'position': '4', 'text': 'None'}]
+  else [{'outcome': 'broken', 'detail': 'not JSON', 'position': '', 'text': null::varchar}] end, recursive := true)
+from c"""
+
+OUTCOMES = r"""with p as (
+  select doc_id, text, lang, source,
+    ['txt', 'md', 'html', 'json', 'HTML', 'pdf'][((length(source) + n_chars) % 6 + 1)::INTEGER] as s
+  from documents
+),
+r as (select *, case when s in ('txt', 'md') then 'text' when s in ('html', 'json') then s else 'unsupported' end as rule from p),
+o as (
+  select doc_id, rule, 'unsupported' as outcome, '.' || s as detail from r where rule = 'unsupported'
+  union all
+  select doc_id, rule, case when doc_id % 11 = 0 then 'bad utf-8'
+    when regexp_replace(coalesce(text, ''), '\n+', chr(10), 'g') = '' then 'empty' else 'text' end, null
+  from r where rule = 'text'
+  union all
+  select doc_id, rule, case when doc_id % 3 = 0 or trim(coalesce(text, '')) = '' then 'empty' else 'text' end, null
+  from r where rule = 'html'
+  union all
+  select doc_id, rule, unnest(case doc_id % 5
+    when 0 then [case when text is null then 'missing' else 'text' end]
+    when 1 then [case when text is null then 'missing' else 'text' end, case when source is null then 'missing' else 'text' end]
+    when 2 then ['missing'] when 3 then ['broken'] else ['text', 'text'] end) as outcome, null
+  from r where rule = 'json'
+)
+select doc_id, rule, outcome,
+  case when outcome = 'missing' then 'text' when outcome = 'broken' then 'not JSON' else detail end as detail,
+  count(*)::bigint as records
+from o group by all"""
+
 # -- crawl and tables -----------------------------------------------------------------
 
 HOSTS = "select distinct string_split(url, '/')[3] as host from pages where string_split(url, '/')[3] <> ''"
@@ -522,6 +566,8 @@ ORACLES: dict[str, str] = {
     "html_to_text": html_sql(),
     "json_path_text": JSON_TEXT,
     "json_path_list": JSON_LIST,
+    "json_mixed_shapes": JSON_SHAPES,
+    "extraction_outcomes": OUTCOMES,
     "clean_mail_body": MAIL,
     "unwrap_urls": UNWRAP,
     "file_metadata": FILE_METADATA,

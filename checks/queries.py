@@ -92,6 +92,59 @@ def json_path_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", F.explode(texts).alias("text"))
 
 
+def json_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation turn as a JSON document of one of six shapes (string, list, list at the top, missing key,
+    nested lists with scalars, broken), walked by each value's own kind."""
+    from tekstmill.operators.json_walk import walk_json
+
+    turns = table(spark, sf_dir, "conversations")
+    shape = (F.col("conv_id") + F.col("turn")) % 6
+    nested = F.concat(
+        F.lit('{"text": ['), F.to_json(F.array("text")), F.lit(", ["), F.to_json(F.array("role")),
+        F.lit("], "), F.col("turn").cast("string"), F.lit(", true, null]}"),
+    )
+    json = (
+        F.when(shape == 0, F.to_json(F.struct("text", "role")))
+        .when(shape == 1, F.to_json(F.struct(F.array("text", F.upper("role")).alias("text"))))
+        .when(shape == 2, F.concat(
+            F.lit("["), F.to_json(F.struct("text")), F.lit(","), F.to_json(F.struct(F.col("role").alias("text"))),
+            F.lit(","), F.col("turn").cast("string"), F.lit("]"),
+        ))
+        .when(shape == 3, F.to_json(F.struct(F.struct("role").alias("meta"))))
+        .when(shape == 4, nested)
+        .otherwise(F.concat(F.lit('{"text": '), F.to_json(F.array("text"))))
+    )
+    walked = walk_json(turns.select("conv_id", "turn", json.alias("json")), F.col("json"), ["text"], ["conv_id", "turn"])
+    return walked.select("conv_id", "turn", "outcome", "detail", F.array_join("position", ",").alias("position"), "text")
+
+
+def extraction_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of the suffix ``route_by_suffix`` gives it, some broken on purpose (bad UTF-8, pages
+    without text, broken JSON, JSON without the key), extracted with an outcome for everything: per file and outcome
+    the number of rows."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    path = _routed_path()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    shape = F.col("doc_id") % 5
+    json = (
+        F.when(shape == 0, F.to_json(F.struct("text")))
+        .when(shape == 1, F.to_json(F.array(F.struct("text"), F.struct(F.col("source").alias("text")))))
+        .when(shape == 2, F.to_json(F.struct(F.col("text").alias("other"))))
+        .when(shape == 3, F.concat(F.lit('{"text": '), F.to_json(F.array("text"))))
+        .otherwise(F.concat(F.lit('{"text": ['), F.to_json(F.array("text")), F.lit(", "), F.to_json(F.array("lang")), F.lit("]}")))
+    )
+    page = F.when(F.col("doc_id") % 3 == 0, F.lit("<html><body><script>var x = 1;</script></body></html>")).otherwise(
+        F.concat(F.lit("<html><body><p>"), text, F.lit("</p></body></html>"))
+    )
+    suffix = F.regexp_extract(path, r"\.([^.]+)$", 1)
+    body = F.when(suffix == "json", json).when(suffix == "html", page).otherwise(text).cast("binary")
+    body = F.when(suffix.isin("txt", "md") & (F.col("doc_id") % 11 == 0), F.concat(body, F.unhex(F.lit("FF")))).otherwise(body)
+    files = docs.select(path.alias("path"), body.alias("content"))
+    outcomes = extraction.extract_file_rows(files)
+    doc_id = F.regexp_extract("path", r"/(\d+)\.v2\.", 1).cast("bigint")
+    return outcomes.groupBy(doc_id.alias("doc_id"), "rule", "outcome", "detail").agg(F.count("*").alias("records"))
+
+
 def _mail_body() -> Column:
     link = F.concat(
         F.lit("https://safe.example.com/?d=x&url=http%3A%2F%2Fdocs.example.org%2F"), F.col("doc_id"), F.lit("&z=1")
@@ -458,6 +511,8 @@ QUERIES: dict[str, Query] = {
     "html_to_text": html_to_text,
     "json_path_text": json_path_text,
     "json_path_list": json_path_list,
+    "json_mixed_shapes": json_mixed_shapes,
+    "extraction_outcomes": extraction_outcomes,
     "clean_mail_body": clean_mail_body,
     "unwrap_urls": unwrap_urls,
     "file_metadata": file_metadata,

@@ -19,6 +19,7 @@ from ..functions.extract import (
     percent_decode,
 )
 from ..functions.settle import settle
+from ..plans.lineage import cut_lineage
 from ..sources.readers import logger
 
 # Suffixes and the rule that reads them.
@@ -126,3 +127,64 @@ def _union(spark: SparkSession, parts: Iterable[DataFrame]) -> DataFrame:
     for part in parts:
         combined = part if combined is None else combined.unionByName(part)
     return spark.createDataFrame([], RECORD_SCHEMA) if combined is None else combined
+
+
+# Outcomes of a file or of a value inside it; every input file ends in at least one.
+OUTCOMES = ("text", "unsupported", "bad utf-8", "empty", "broken", "missing")
+
+
+def extract_file_rows(files: DataFrame, text_path: str = "text", text_format: str = "txt") -> DataFrame:
+    """Outcome rows of files given as ``path`` and ``content`` (bytes), as ``spark.read.format("binaryFile")`` gives
+    them (``length`` is taken where present).
+
+    Columns: path, size, rule, outcome, detail, position, text. ``outcome`` is one of ``OUTCOMES``: ``text`` for each
+    extracted text, ``unsupported`` (detail: the suffix), ``bad utf-8``, ``empty`` (a page or file with no text left),
+    ``broken`` (JSON that doesn't parse) or ``missing`` (detail: the key that a JSON value lacks). JSON of any shape is
+    walked by ``walk_json``; ``position`` orders the texts of one file. Nothing is left out without a row.
+    """
+    from .json_walk import walk_json
+
+    size = F.col("length") if "length" in files.columns else F.length("content")
+    routed = files.select(
+        "path", size.cast("bigint").alias("size"), route(F.col("path")).alias("rule"),
+        F.try_validate_utf8(F.col("content").cast("string")).alias("body"),
+    )
+    routed = cut_lineage(routed, "extract-routed")
+    no_position = F.array().cast("array<int>")
+
+    def failed(df: DataFrame, outcome: str, detail: Column) -> DataFrame:
+        return df.select(
+            "path", "size", "rule", F.lit(outcome).alias("outcome"), detail.cast("string").alias("detail"),
+            no_position.alias("position"), F.lit(None).cast("string").alias("text"),
+        )
+
+    unsupported = failed(routed.filter(F.col("rule") == UNSUPPORTED), "unsupported", file_suffix(F.col("path")))
+    readable = routed.filter(F.col("rule") != UNSUPPORTED)
+    bad = failed(readable.filter(F.col("body").isNull()), "bad utf-8", F.lit(None))
+    readable = readable.filter(F.col("body").isNotNull())
+
+    plain = readable.filter(F.col("rule") == "text").withColumn("text", collapse_newlines(F.col("body")))
+    pages = settle(readable.filter(F.col("rule") == "html"), "text", collapse_newlines(html_to_text(F.col("body"))))
+    texts = plain.unionByName(pages)
+    has_text = F.col("text").isNotNull() & (F.col("text") != "")
+    kept = texts.filter(has_text).select(
+        "path", "size", "rule", F.lit("text").alias("outcome"), F.lit(None).cast("string").alias("detail"),
+        no_position.alias("position"), "text",
+    )
+    empty = failed(texts.filter(~has_text), "empty", F.lit(None))
+
+    walked = walk_json(readable.filter(F.col("rule") == "json"), F.col("body"), text_path.split(","), ["path", "size", "rule"])
+    walked = settle(walked, "text", F.when(F.col("outcome") == "text", choose_format(F.col("text"), text_format)))
+    walked = walked.select("path", "size", "rule", "outcome", "detail", "position", "text")
+    return unsupported.unionByName(bad).unionByName(kept).unionByName(empty).unionByName(walked)
+
+
+def observe_outcomes(outcomes: DataFrame, observation) -> DataFrame:
+    """The same rows, counting all rows and the rows of each outcome into ``observation`` as they pass."""
+    counts = [F.count_if(F.col("outcome") == o).alias(o.replace(" ", "_").replace("-", "")) for o in OUTCOMES]
+    return outcomes.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+
+def outcome_records(outcomes: DataFrame, source: str, now: str) -> DataFrame:
+    """Records of the ``text`` outcomes, in the schema of all extraction."""
+    return _records(outcomes.filter(F.col("outcome") == "text").select("text", "path", "size"), source, now)

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..functions.extract import percent_decode
 from ..functions.minhash import MinHashPlan
 from ..operators import chain, crawl, extraction, minhash_dedup, sentence_dedup
 from ..sources import readers, writers
@@ -249,3 +250,39 @@ def process_web_crawl(
     stamp = str(now or datetime.now())
     records = extraction.extract_folders(spark, folders, files, source, stamp)
     return writers.write_jsonl(records, output_path, source, output_suffix, mode)
+
+
+def extract_with_outcomes(
+    spark: SparkSession,
+    top_level_path: str,
+    output_path: str,
+    quarantine_path: str,
+    source: str,
+    key_paths: str = "text",
+    text_format: str = "txt",
+    now: datetime | None = None,
+    mode: str = "errorifexists",
+) -> dict[str, int]:
+    """Extract every file below a directory, JSON of any shape included; returns the counts of each outcome.
+
+    Files are read once (``binaryFile``). Their outcome rows are written in one pass, during which an ``Observation``
+    counts them; records go to ``output_path`` as JSON lines, and every file or value that gave no text, with its
+    rule and reason (unsupported suffix, bad UTF-8, empty page, broken JSON, missing key), to ``quarantine_path`` as
+    parquet. Files named ``_…`` or ``.…`` are left out, as Spark's scans leave them out.
+    """
+    from pyspark.sql import Observation
+
+    readers.require_paths(top_level_path, output_path, quarantine_path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(top_level_path)
+    files = files.select(percent_decode(F.col("path")).alias("path"), "length", "content")
+    observation = Observation("extraction outcomes")
+    stamp = str(now or datetime.now())
+    with scratch(spark):
+        outcomes = extraction.extract_file_rows(files, key_paths, text_format)
+        staged = cut_lineage(extraction.observe_outcomes(outcomes, observation), "outcomes")
+        counts = {k: int(v) for k, v in observation.get.items()}
+        quarantine = staged.filter(F.col("outcome") != "text").select("path", "rule", "outcome", "detail", "position")
+        quarantine.write.mode(mode).parquet(quarantine_path)
+        writers.write_jsonl(extraction.outcome_records(staged, source, stamp), output_path, source, mode=mode)
+    logger.info("Extraction outcomes of %s: %s", top_level_path, counts)
+    return counts
