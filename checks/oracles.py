@@ -175,6 +175,48 @@ select doc_id, rule, outcome,
   count(*)::bigint as records
 from o group by all"""
 
+ABBREVIATION_CTE = r"""t as (select doc_id, coalesce(text, '') || ' Prisen er 3.5 kr. kl. 12 i dag, bl.a. det nye.' as text from documents),
+s as (select list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as ts from t),
+u as (select ts[i] as t, ts[i + 1] as nxt from s, unnest(range(1, len(ts) + 1)) as g(i)),
+typed as (
+  select lower(case when f then substr(t, 1, length(t) - 1) else t end) as type, f as final,
+    f and coalesce(regexp_matches(nxt, '^[\p{Ll}\p{N}]'), false) as lower_next
+  from (select *, t like '%.' and t not like '%..' as f from u)
+),
+tot as (select count(*)::double as n, count(*) filter (final)::double as nf from typed),
+c as (
+  select type, count(*) filter (final) as with_period, count(*) as tokens, count(*) filter (lower_next) as lower_next
+  from typed where regexp_matches(type, '^\p{L}[\p{L}.]*$') group by type
+),
+scored as (
+  select c.*, length(replace(type, '.', '')) as letters, length(type) - length(replace(type, '.', '')) + 1 as inner_periods,
+    least(greatest(nf / n, 1e-12), 1 - 1e-12) as p0
+  from c, tot where with_period > 0
+),
+ab as (
+  select type, with_period, tokens, lower_next,
+    -2 * ((with_period * ln(p0) + (tokens - with_period) * ln(1 - p0)) - (with_period * ln(0.99) + (tokens - with_period) * ln(0.01)))
+      * exp(-letters) * inner_periods * pow(letters, -(tokens - with_period)) as score, inner_periods
+  from scored
+),
+abbrevs as (select * from ab where score >= 0.3 and (inner_periods > 1 or lower_next > 0))"""
+
+ABBREVIATIONS = f"""with {ABBREVIATION_CTE}
+select type, with_period::BIGINT as with_period, tokens::BIGINT as tokens, lower_next::BIGINT as lower_next,
+  round(score, 6) as score from abbrevs"""
+
+LEARNED_SENTENCES = f"""with {ABBREVIATION_CTE},
+known as (select coalesce(list(type), []) as types from abbrevs),
+p as (
+  select doc_id, array_to_string(list_transform(
+    regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+'),
+    lambda x: case when x like '%.' and x not like '%..' and list_contains(types, lower(substr(x, 1, length(x) - 1)))
+      then substr(x, 1, length(x) - 1) || chr(57344) else x end), '') as protected
+  from t, known
+),
+cut as (select doc_id, regexp_extract_all(protected, '(?s).+?(?:[.!?]+(?:[ \\t\\n\\x0B\\f\\r]|\\z)|\\z)') as ss from p)
+select doc_id, (generate_subscripts(ss, 1) - 1)::BIGINT as pos, replace(unnest(ss), chr(57344), '.') as sentence from cut"""
+
 # -- crawl and tables -----------------------------------------------------------------
 
 HOSTS = "select distinct string_split(url, '/')[3] as host from pages where string_split(url, '/')[3] <> ''"
@@ -568,6 +610,8 @@ ORACLES: dict[str, str] = {
     "json_path_list": JSON_LIST,
     "json_mixed_shapes": JSON_SHAPES,
     "extraction_outcomes": OUTCOMES,
+    "abbreviations": ABBREVIATIONS,
+    "learned_sentences": LEARNED_SENTENCES,
     "clean_mail_body": MAIL,
     "unwrap_urls": UNWRAP,
     "file_metadata": FILE_METADATA,

@@ -15,7 +15,7 @@ from tekstmill.functions.minhash import MinHashPlan
 from tekstmill.functions.settle import settle
 from tekstmill.functions.repair import repair_text
 from tekstmill.functions.text import stop_words
-from tekstmill.operators import chain, crawl, extraction, filters, minhash_dedup, sentence_dedup, tables
+from tekstmill.operators import chain, crawl, extraction, filters, minhash_dedup, sentence_dedup, sentences, tables
 from tekstmill.plans import jobs
 from tekstmill.plans.lineage import scratch_path
 from tekstmill.sources import readers, schema, writers
@@ -145,6 +145,28 @@ def extraction_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.groupBy(doc_id.alias("doc_id"), "rule", "outcome", "detail").agg(F.count("*").alias("records"))
 
 
+# A sentence with a decimal number and abbreviations, added to every document.
+ABBREVIATED = " Prisen er 3.5 kr. kl. 12 i dag, bl.a. det nye."
+
+
+def _abbreviated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(ABBREVIATED)).alias("text"))
+
+
+def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abbreviations learned from all documents by collocation log-likelihood and orthographic evidence."""
+    found = sentences.learn_abbreviations(_abbreviated(spark, sf_dir))
+    return found.select("type", "with_period", "tokens", "lower_next", F.round("score", 6).alias("score"))
+
+
+def learned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into sentences with the abbreviations learned from them all."""
+    docs = _abbreviated(spark, sf_dir)
+    cut = sentences.learned_sentences(docs, sentences.learn_abbreviations(docs))
+    return cut.select("doc_id", F.posexplode("sentences").alias("pos", "sentence")).withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def _mail_body() -> Column:
     link = F.concat(
         F.lit("https://safe.example.com/?d=x&url=http%3A%2F%2Fdocs.example.org%2F"), F.col("doc_id"), F.lit("&z=1")
@@ -513,6 +535,8 @@ QUERIES: dict[str, Query] = {
     "json_path_list": json_path_list,
     "json_mixed_shapes": json_mixed_shapes,
     "extraction_outcomes": extraction_outcomes,
+    "abbreviations": abbreviations,
+    "learned_sentences": learned_sentences,
     "clean_mail_body": clean_mail_body,
     "unwrap_urls": unwrap_urls,
     "file_metadata": file_metadata,
