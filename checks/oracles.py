@@ -11,6 +11,8 @@ from pathlib import Path
 
 import pyspark
 
+from tekstmill.functions.minhash import rotation_step
+
 from .queries import BROKEN_LETTERS, LANGUAGES, MD5_PLAN, NOW
 
 # What the tables and the queries hold of these; the library's own tables are not used here.
@@ -543,11 +545,20 @@ from documents d left join rebuilt r using (doc_id)"""
 PRIME = 2147483647
 
 
-def signature_ctes() -> str:
+def signature_ctes(scheme: str = "permutations") -> str:
     coefficients = ", ".join(f"({k}, {a}, {b}, {c}, {d})" for k, (a, b, c, d) in enumerate(MD5_PLAN.coefficients()))
-    return rf"""mw as (select doc_id, {WORDS.format('lower(text)')} as ws from documents),
+    shingles = rf"""mw as (select doc_id, {WORDS.format('lower(text)')} as ws from documents),
 mi as (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from mw),
-sh as (select distinct doc_id, md5(concat_ws(' ', ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4])) as h from mi),
+sh as (select distinct doc_id, md5(concat_ws(' ', ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4])) as h from mi)"""
+    if scheme == "one_permutation":
+        size, step = MD5_PLAN.size, rotation_step(MD5_PLAN.size)
+        return rf"""{shingles},
+packed as (select doc_id, ('0x' || substr(h, 1, 7) || substr(h, 9, 7))::BIGINT as v from sh),
+bins as (select doc_id, v % {size} as bin, min(v // {size}) as m from packed group by 1, 2),
+grid as (select doc_id, k from (select distinct doc_id from bins), range({size}) r(k)),
+sig as (select g.doc_id, g.k, arg_min(b.m + ((b.bin - g.k + {size}) % {size}) * {step}, (b.bin - g.k + {size}) % {size}) as value
+  from grid g join bins b using (doc_id) group by 1, 2)"""
+    return rf"""{shingles},
 lanes as (select doc_id, ('0x' || substr(h, 1, 7))::BIGINT as one, ('0x' || substr(h, 9, 7))::BIGINT as two from sh),
 coef(k, a, b, c, d) as (values {coefficients}),
 sig as (select doc_id, k, min(((a::BIGINT * one + b) % {PRIME}) * 2147483648 + ((c::BIGINT * two + d) % {PRIME})) as value
@@ -573,6 +584,13 @@ MINHASH_DEDUP = f"""with recursive {CLUSTER_CTE}
 select d.doc_id, coalesce(m.cluster = d.doc_id, true) as kept, coalesce(m.cluster, d.doc_id) as survivor
 from documents d left join members m on m.node = d.doc_id"""
 
+OPH_SIGNATURES = f"with {signature_ctes('one_permutation')} select doc_id, k::BIGINT as k, value::BIGINT as value from sig"
+
+OPH_CLUSTER_CTE = CLUSTER_CTE.replace(signature_ctes(), signature_ctes("one_permutation"))
+MINHASH_DEDUP_OPH = f"""with recursive {OPH_CLUSTER_CTE}
+select d.doc_id, coalesce(m.cluster = d.doc_id, true) as kept, coalesce(m.cluster, d.doc_id) as survivor
+from documents d left join members m on m.node = d.doc_id"""
+
 # -- whole jobs ---------------------------------------------------------------------------
 
 JOB_METADATA = """'{"n":' || n_chars || ',"o":{"lang":"' || lang || '","s":["' || source || '"]}}'"""
@@ -645,6 +663,8 @@ ORACLES: dict[str, str] = {
     "duplicate_clusters": CLUSTERS,
     "cluster_report": CLUSTER_REPORT,
     "minhash_dedup": MINHASH_DEDUP,
+    "oph_signatures": OPH_SIGNATURES,
+    "minhash_dedup_oph": MINHASH_DEDUP_OPH,
     "job_filter": JOB_FILTER,
     "job_sentence_dedup": JOB_SENTENCES,
     "job_minhash_dedup": JOB_MINHASH,

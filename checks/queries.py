@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LANGUAGES = ["en", "de", "fr", "es"]
 # MD5 is what the other engine can compute as well.
 MD5_PLAN = MinHashPlan(shingle_hash="md5")
+OPH_PLAN = MinHashPlan(shingle_hash="md5", scheme="one_permutation")
 FAST_PLAN = MinHashPlan()
 NOW = "2024-05-01 12:00:00"
 
@@ -426,6 +427,21 @@ def minhash_dedup_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept
 
 
+def oph_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures of one permutation dealt into bins, densified by rotation."""
+    signed = minhash_dedup.minhash_signatures(documents(spark, sf_dir), plan=OPH_PLAN)
+    rows = signed.select("doc_id", F.posexplode("signature").alias("k", "value"))
+    return rows.withColumn("k", F.col("k").cast("bigint"))
+
+
+def minhash_dedup_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document deduplication on one-permutation signatures."""
+    kept, removed = minhash_dedup.deduplicate_documents(documents(spark, sf_dir), plan=OPH_PLAN)
+    return kept.select("doc_id", F.lit(True).alias("kept"), F.col("doc_id").alias("survivor")).unionByName(
+        removed.select("doc_id", F.lit(False).alias("kept"), F.col("cluster").alias("survivor"))
+    )
+
+
 # -- whole jobs ----------------------------------------------------------------------
 
 
@@ -571,6 +587,8 @@ QUERIES: dict[str, Query] = {
     "cluster_report": cluster_report,
     "minhash_dedup": minhash_dedup_query,
     "minhash_dedup_fast": minhash_dedup_fast,
+    "oph_signatures": oph_signatures,
+    "minhash_dedup_oph": minhash_dedup_oph,
     "job_filter": job_filter,
     "job_sentence_dedup": job_sentence_dedup,
     "job_minhash_dedup": job_minhash_dedup,

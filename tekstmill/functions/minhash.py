@@ -1,4 +1,5 @@
-"""MinHash signatures (Broder 1997) with 62-bit values."""
+"""MinHash signatures: ``plan.size`` permutations (Broder 1997) with 62-bit values, or one permutation dealt into
+``plan.size`` bins (Li, Owen and Zhang 2012) with empty bins filled by rotation (Shrivastava and Li 2014)."""
 
 from __future__ import annotations
 
@@ -24,6 +25,12 @@ class MinHashPlan:
 
     ``shingle_hash`` is ``xxhash64``, or ``md5`` where another engine must be able to
     compute the same signature; both give two lanes of 28 bits per shingle.
+
+    ``scheme`` ``permutations`` takes the least of ``size`` permuted values of all shingles; ``one_permutation``
+    hashes each shingle once, to bin v % size with value v // size, keeps the least value of each bin and gives an
+    empty bin the value of the nearest bin to its right (cyclically) that isn't empty, plus ``rotation_step`` times
+    the distance. Both estimate Jaccard similarity by the share of equal values; the second costs one hash a shingle
+    instead of ``size``.
     """
 
     buckets: int = 14
@@ -31,8 +38,11 @@ class MinHashPlan:
     ngram: int = 5
     shingle_hash: str = "xxhash64"
     seed: int = 1
+    scheme: str = "permutations"
 
     def __post_init__(self) -> None:
+        if self.scheme not in ("permutations", "one_permutation"):
+            raise ValueError("scheme must be 'permutations' or 'one_permutation'.")
         if min(self.buckets, self.rows, self.ngram) < 1:
             raise ValueError("buckets, rows and ngram must be positive.")
         if self.shingle_hash not in ("xxhash64", "md5"):
@@ -65,6 +75,30 @@ def shingle_lanes(text: Column, plan: MinHashPlan) -> Column:
 
 # Shingles permuted at a time: keeps the work arrays in the processor cache.
 BLOCK = 1 << 15
+# Shingle hashes have 56 bits; a bin's value is below ROTATION // size.
+ROTATION = 1 << 56
+
+
+def rotation_step(size: int) -> int:
+    """Offset per bin of distance in rotation: above any value that a bin holds."""
+    return ROTATION // size + 1
+
+
+def one_permutation(packed: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """Rows of ``size`` densified bin minima, one per text with shingles (``lengths`` > 0), in order."""
+    counts = lengths[lengths > 0]
+    row = np.repeat(np.arange(len(counts)), counts)
+    out = np.full((len(counts), size), np.iinfo(np.int64).max, np.int64)
+    np.minimum.at(out, (row, packed % size), packed // size)
+    if len(counts) == 0:
+        return out
+    # Nearest bin at or right of each, cyclically: over the bins written twice, the least filled index from the right.
+    filled = np.concatenate([out, out], axis=1) != np.iinfo(np.int64).max
+    index = np.where(filled, np.arange(2 * size), 2 * size)
+    nearest = np.minimum.accumulate(index[:, ::-1], axis=1)[:, ::-1][:, :size]
+    distance = nearest - np.arange(size)
+    taken = np.take_along_axis(out, nearest % size, axis=1)
+    return taken + distance * rotation_step(size)
 
 
 def signature(text: Column, plan: MinHashPlan) -> Column:
@@ -75,13 +109,19 @@ def signature(text: Column, plan: MinHashPlan) -> Column:
     all texts in the batch; as an aggregation the same would shuffle and take one wide
     buffer per text.
     """
-    coefficients, size = plan.coefficients(), plan.size
+    coefficients, size, single = plan.coefficients(), plan.size, plan.scheme == "one_permutation"
 
     @F.arrow_udf("array<bigint>")
     def minima(batch: pa.Array) -> pa.Array:
         lengths = list_lengths(batch)
         packed = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         signed = lengths > 0
+        if single:
+            out = one_permutation(packed, lengths, size)
+            offsets = np.concatenate(([0], np.cumsum(signed * size))).astype(np.int32)
+            missing = pa.array(np.concatenate((~signed, [False])))
+            masked = pc.if_else(missing, pa.scalar(None, pa.int32()), pa.array(offsets))
+            return pa.ListArray.from_arrays(masked, pa.array(out.ravel()))
         ends = np.cumsum(lengths[signed])
         starts = ends - lengths[signed]
         out = np.full((len(ends), size), np.iinfo(np.int64).max, np.int64)

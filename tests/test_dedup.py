@@ -195,3 +195,32 @@ def test_many_hot_keys_are_split(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_permutation_estimates_jaccard():
+    import numpy as np
+
+    from tekstmill.functions.minhash import one_permutation, rotation_step
+
+    rng = np.random.default_rng(5)
+    errors = []
+    for similarity in (0.2, 0.5, 0.8):
+        for _ in range(40):
+            shared = rng.integers(0, 1 << 56, int(1000 * similarity))
+            a = np.concatenate([shared, rng.integers(0, 1 << 56, 1000 - len(shared))])
+            b = np.concatenate([shared, rng.integers(0, 1 << 56, 1000 - len(shared))])
+            true = len(shared) / (2000 - len(shared))
+            rows = one_permutation(np.concatenate([a, b]), np.array([1000, 1000]), 112)
+            errors.append(abs((rows[0] == rows[1]).mean() - true))
+    assert np.mean(errors) < 0.05 and max(errors) < 0.2
+
+
+def test_one_permutation_fills_empty_bins():
+    import numpy as np
+
+    from tekstmill.functions.minhash import one_permutation, rotation_step
+
+    rows = one_permutation(np.array([5 * 8 + 3], dtype=np.int64), np.array([0, 1]), 8)
+    assert rows.shape == (1, 8)
+    # The one shingle lies in bin 3 with value 5; bin j takes it at distance (3 - j) % 8.
+    assert list(rows[0]) == [5 + ((3 - j) % 8) * rotation_step(8) for j in range(8)]
