@@ -31,9 +31,11 @@ SEQUENCE = 2048
 BATCH_SEQUENCES = 512
 END_ID = 0
 # White space and what follows it up to the next white space. The byte-level pattern of words never joins a letter,
-# digit or sign to white space after it, so these pieces are encoded independently of each other. Where no two blanks
-# meet, a text may be cut before each blank alone, as the pattern takes the last blank of a run to the word after it.
+# digit or sign to white space after it, so these pieces are encoded independently of each other. A blank that is a
+# run of white space by itself (no white space on either side) may be cut before, as the pattern takes it to the word
+# after it; a blank beside other white space lies inside a longer run, which the pattern takes whole.
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+CROWDED = re.compile(f"[{SPACE}] | [{SPACE}]")
 # Pieces that a worker remembers before a new generation begins; bounds its memory.
 REMEMBERED = 900_000
 MARKS = tuple(".,;:!?")
@@ -42,7 +44,7 @@ BLANK = byte_letters()[32]
 
 
 def _pieces(text: str) -> tuple[list[str], list[str]]:
-    if "  " in text:
+    if CROWDED.search(text):
         return PIECES.findall(text), []
     first, *others = text.split(" ")
     return [first] if first else [], others

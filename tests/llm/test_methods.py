@@ -337,3 +337,17 @@ def test_spark_entry_lists_them():
     names = entry.queries()
     assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
     assert {"op1_warc_merge", "op4_mix_sources"} <= set(entry.oracle_sql())
+
+
+def test_byte_pieces_equal_the_library_on_white_space():
+    """All white space of the pattern's class, in runs beside blanks, letters, marks and a special token."""
+    random.seed(9)
+    library, own = Tokenizer.from_file(BYTE_BPE), token_files.Encoder(BYTE_BPE)
+    spaces = "\t\n\x0b\x0c\r \x85\xa0        　"
+    alphabet = spaces + "  aab́é中.,'1\U0001F642"
+    texts = ["".join(random.choice(alphabet) for _ in range(random.randrange(25))) for _ in range(100_000)]
+    texts += [" \xa0 \xa0", "a \xa0 b<|endoftext|> \n", "x \n y", "a \xa0b"]
+    for low in range(0, len(texts), 5000):
+        chunk = texts[low : low + 5000]
+        for text, ids in zip(chunk, own.encode(chunk)):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
