@@ -219,6 +219,22 @@ p as (
 cut as (select doc_id, regexp_extract_all(protected, '(?s).+?(?:[.!?]+(?:[ \\t\\n\\x0B\\f\\r]|\\z)|\\z)') as ss from p)
 select doc_id, (generate_subscripts(ss, 1) - 1)::BIGINT as pos, replace(unnest(ss), chr(57344), '.') as sentence from cut"""
 
+LANGUAGE_ACCURACY = r"""with w as (select doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) as word from documents),
+wc as (select doc_id, lang, word, count(*) as times from w group by all),
+g as (select doc_id, lang, times, ' ' || word || ' ' as p, unnest(range(1, length(word) + 1)) as i from wc),
+gb as (select doc_id, lang, times, ('0x' || substr(md5(substr(p, i, 3)), 1, 8))::BIGINT % 65536 as bucket from g),
+train as (select lang, bucket, sum(times) as n from gb where doc_id % 2 = 0 group by all),
+counts as (select lang, bucket, n from train union all select 'und', bucket, sum(n) from train group by bucket),
+totals as (select lang, sum(n)::double as total from counts group by lang),
+test as (select doc_id, lang, bucket, sum(times) as times from gb where doc_id % 2 = 1 group by all),
+scored as (
+  select t.doc_id, c.lang as cls, sum(t.times * ln((coalesce(n.n, 0) + 0.5) / (c.total + 0.5 * 65536))) as ll
+  from test t cross join totals c left join counts n on n.lang = c.lang and n.bucket = t.bucket group by all
+),
+best as (select doc_id, arg_max(cls, ll) as language from scored group by all)
+select d.lang, count(*)::BIGINT as documents, count(*) filter (b.language = d.lang)::BIGINT as correct
+from documents d left join best b using (doc_id) where d.doc_id % 2 = 1 group by 1"""
+
 # -- crawl and tables -----------------------------------------------------------------
 
 HOSTS = "select distinct string_split(url, '/')[3] as host from pages where string_split(url, '/')[3] <> ''"
@@ -645,6 +661,7 @@ ORACLES: dict[str, str] = {
     "language_profiles": PROFILES,
     "language_filter": LANGUAGE_FILTER,
     "language_label": LANGUAGE_LABEL,
+    "language_accuracy": LANGUAGE_ACCURACY,
     "repetition_lines": REPETITION_LINES,
     "repetition_ngrams": REPETITION_NGRAMS,
     "repetition_filter": REPETITION_FILTER,

@@ -317,6 +317,18 @@ def language_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out accuracy of the n-gram language model per language: learned from even ids, tested on odd ones."""
+    from tekstmill.functions import language_model
+
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = language_model.LanguageModel(language_model.learn_counts(docs.filter(F.col("doc_id") % 2 == 0)))
+    scored = language_model.score_languages(docs.filter(F.col("doc_id") % 2 == 1), model)
+    return scored.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("language") == F.col("lang")).alias("correct")
+    )
+
+
 def repetition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = filters.line_repetition(F.col("text"))
     return documents(spark, sf_dir).select("doc_id", *[v.alias(k) for k, v in shares.items()])
@@ -568,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "language_profiles": language_profiles,
     "language_filter": language_filter,
     "language_label": language_label,
+    "language_accuracy": language_accuracy,
     "repetition_lines": repetition_lines,
     "repetition_ngrams": repetition_ngrams,
     "repetition_filter": repetition_filter,
