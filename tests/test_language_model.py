@@ -16,7 +16,7 @@ TRAIN = {
 
 @pytest.fixture(scope="module")
 def model(spark):
-    rows = [(i, text, lang) for i, (lang, text) in enumerate(TRAIN.items())] * 20 + [(99, None, None)]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(TRAIN.items())] * 200 + [(99, None, None)]
     docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
     return language_model.LanguageModel(language_model.learn_counts(docs, buckets=1 << 12), buckets=1 << 12)
 
