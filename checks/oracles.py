@@ -95,6 +95,36 @@ t as (select page_id, trim({text}, chr(10) || ' ') as text from b)
 select page_id, text from t where text <> ''"""
 
 
+def main_text_sql() -> str:
+    page = r"regexp_replace(regexp_replace(html, '(?i)<(/?)(article|main|nav)\b', '<\1div', 'g'), '(?s)<!--.*?-->', '', 'g')"
+    for name in DROPPED_ELEMENTS:
+        page = rf"regexp_replace({page}, '(?is)<{name}\b[^>]*>.*?</{name}\s*>', '', 'g')"
+    page = rf"""regexp_replace({page}, '(?is)<div[^>]*class="ad"[^>]*>.*?</div\s*>', '', 'g')"""
+    words = r"len(regexp_extract_all(regexp_replace({x}, '<[^>]*>', '', 'g'), '[\p{{L}}\p{{N}}]+'))"
+    links = r"array_to_string(regexp_extract_all(x, '(?is)<a\b[^>]*>(.*?)</a\s*>', 1), ' ')"
+    score = f"{words.format(x='x')} - 2 * {words.format(x=links)} - len(regexp_extract_all(x, '<[^>]*>')) - 1"
+    blocks = r"regexp_split_to_array(p, '(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|main|blockquote|pre)\b[^>]*>')"
+    text = replace_all(r"array_to_string(list_transform(blocks[first:last], lambda x: regexp_replace(x, '<[^>]*>', '', 'g')), chr(10))", HTML_ENTITIES)
+    text = rf"regexp_replace({text}, '[ \t\r\f]+', ' ', 'g')"
+    text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
+    return f"""with v as (select page_id, {page} as p from pages),
+b as (select page_id, {blocks} as blocks from v),
+s as (select page_id, blocks, list_transform(blocks, lambda x: {score}) as scores from b),
+u as (select page_id, unnest(scores) as sc, generate_subscripts(scores, 1) as j from s),
+pre as (select page_id, j, sum(sc) over (partition by page_id order by j) as prefix from u),
+pz as (select page_id, 0 as j, 0 as prefix from s union all select page_id, j, prefix from pre),
+pairs as (
+  select e.page_id, z.j + 1 as first, e.j as last, e.prefix - z.prefix as total
+  from pre e join pz z on z.page_id = e.page_id and z.j < e.j
+),
+best as (select * from pairs qualify row_number() over (partition by page_id order by total desc, last, first) = 1),
+t as (
+  select s.page_id, case when best.total > 0 then nullif(trim({text}, chr(10) || ' '), '') end as text
+  from s left join best using (page_id)
+)
+select page_id, text from t"""
+
+
 JSON_TEXT = "select event_id, json_extract_string(props, '$.k') as text from events where json_extract_string(props, '$.k') is not null"
 
 JSON_LIST = "select conv_id, turn, unnest([text, upper(role)]) as text from conversations"
@@ -640,6 +670,7 @@ union all select text, null, role, 'turns' from conversations"""
 ORACLES: dict[str, str] = {
     "collapse_newlines": COLLAPSE,
     "html_to_text": html_sql(),
+    "main_text_blocks": main_text_sql(),
     "json_path_text": JSON_TEXT,
     "json_path_list": JSON_LIST,
     "json_mixed_shapes": JSON_SHAPES,

@@ -75,6 +75,14 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "text").filter(F.col("text").isNotNull())
 
 
+def main_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by block segmentation, with its landmarks (article, main, nav) renamed to div, so
+    that menus go by their link density alone."""
+    html = F.regexp_replace("html", r"(?i)<(/?)(article|main|nav)\b", "<$1div")
+    text = settle(pages(spark, sf_dir).select("page_id", html.alias("html")), "text", extract.main_text(F.col("html")))
+    return text.select("page_id", "text")
+
+
 def json_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = T.StructType([T.StructField("k", T.LongType())])
     texts = extract.json_path_texts(F.col("props"), shape, "k")
@@ -559,6 +567,7 @@ def dataset_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "collapse_newlines": collapse_newlines,
     "html_to_text": html_to_text,
+    "main_text_blocks": main_text_blocks,
     "json_path_text": json_path_text,
     "json_path_list": json_path_list,
     "json_mixed_shapes": json_mixed_shapes,

@@ -188,3 +188,67 @@ def document_record(text: Column, source: Column, metadata: Column, now: str) ->
         F.lit(f"2000-01-01 00:00:00, {now}").alias("created"),
         metadata.alias("metadata"),
     ]
+
+
+# Words and links of a block, for the main-text scan.
+WORD = r"[\p{L}\p{N}]+"
+LINK_TEXT = r"(?is)<a\b[^>]*>(.*?)</a\s*>"
+
+
+def _visible(html: Column) -> Column:
+    """The page without comments, never-text elements and adverts."""
+    page = F.regexp_replace(html, COMMENT, "")
+    for name in DROPPED_ELEMENTS:
+        page = F.regexp_replace(page, rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "")
+    return F.regexp_replace(page, AD_BLOCK, "")
+
+
+def block_score(block: Column) -> Column:
+    """Words, less twice the words inside links, less the tags, less one for the block's own boundary."""
+    words = F.size(F.regexp_extract_all(F.regexp_replace(block, ANY_TAG, ""), F.lit(WORD), F.lit(0)))
+    linked = F.array_join(F.regexp_extract_all(block, F.lit(LINK_TEXT), F.lit(1)), " ")
+    link_words = F.size(F.regexp_extract_all(F.regexp_replace(linked, ANY_TAG, ""), F.lit(WORD), F.lit(0)))
+    tags = F.size(F.regexp_extract_all(block, F.lit(ANY_TAG), F.lit(0)))
+    return words - 2 * link_words - tags - 1
+
+
+def best_run(scores: Column) -> Column:
+    """(total, first, last) of the run of greatest sum (1-based, inclusive); of equal sums the one that ends first,
+    and of those the one that starts first. One pass: the least prefix sum so far and where it was reached."""
+    start = F.struct(
+        F.lit(0).alias("i"), F.lit(0).alias("prefix"), F.lit(0).alias("low"), F.lit(0).alias("low_at"),
+        F.lit(None).cast("int").alias("best"), F.lit(0).alias("first"), F.lit(0).alias("last"),
+    )
+
+    def step(state: Column, score: Column) -> Column:
+        i, prefix = state["i"] + 1, state["prefix"] + score
+        gain = prefix - state["low"]
+        better = state["best"].isNull() | (gain > state["best"])
+        lower = prefix < state["low"]
+        return F.struct(
+            i.alias("i"), prefix.alias("prefix"),
+            F.when(lower, prefix).otherwise(state["low"]).alias("low"), F.when(lower, i).otherwise(state["low_at"]).alias("low_at"),
+            F.when(better, gain).otherwise(state["best"]).alias("best"),
+            F.when(better, state["low_at"] + 1).otherwise(state["first"]).alias("first"),
+            F.when(better, i).otherwise(state["last"]).alias("last"),
+        )
+
+    return F.aggregate(scores, start, step)
+
+
+def main_text(html: Column) -> Column:
+    """Main text of a page by block segmentation, without landmarks: blocks between block tags are scored by
+    ``block_score`` and the run of greatest sum is kept, one line per block with text; references are decoded and
+    blanks evened out as in ``html_to_text``. NULL where no run has a positive sum or nothing is left. Pass it through
+    ``settle`` before anything names it more than once."""
+    blocks = F.split(_visible(html), BLOCK_TAG, -1)
+
+    def pick(parts: Column) -> Column:
+        run = bind(best_run(F.transform(parts, block_score)), lambda r: r)
+        return bind(run, lambda r: F.when(r["best"] > 0, F.slice(parts, F.greatest(r["first"], F.lit(1)), F.greatest(r["last"] - r["first"] + 1, F.lit(1)))))
+
+    lines = F.transform(bind(blocks, pick), lambda b: F.regexp_replace(b, ANY_TAG, ""))
+    page = decode_references(F.array_join(lines, "\n"))
+    page = F.regexp_replace(page, BLANKS, " ")
+    page = F.regexp_replace(page, BLANKS_AT_BREAK, "\n")
+    return F.nullif(F.btrim(page, F.lit("\n ")), F.lit(""))

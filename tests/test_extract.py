@@ -157,3 +157,36 @@ def test_process_web_crawl(spark, tmp_path):
     log.write_text("-- x http://gone.example/x\n")
     with pytest.raises(ValueError):
         jobs.process_web_crawl(spark, str(log), str(tmp_path / "out3"), str(tmp_path / "in"), "s")
+
+
+def test_main_text_without_landmarks(spark):
+    from pyspark.sql import functions as F
+
+    from tekstmill.functions.extract import main_text
+
+    menu = '<div class="menu"><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li></ul></div>'
+    body = "<div><h1>A title here</h1><div><p>The first paragraph of the story, with words in it.</p>" \
+        "<p>A second one, long enough to count as text &amp; more.</p></div></div>"
+    related = '<div class="links"><a href="/x">Related one</a> <a href="/y">Related two</a></div>'
+    pages = [(1, f"<html><body>{menu}{body}{related}</body></html>"), (2, None), (3, ""), (4, '<a href="/">only links</a>')]
+    df = spark.createDataFrame(pages, "id int, html string")
+    got = {r.id: r.t for r in df.select("id", main_text(F.col("html")).alias("t")).collect()}
+    assert got[1] == "A title here\nThe first paragraph of the story, with words in it.\nA second one, long enough to count as text & more."
+    assert got[2] is None and got[3] is None and got[4] is None
+
+
+def test_best_run_equals_brute_force(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tekstmill.functions.extract import best_run
+
+    random.seed(3)
+    arrays = [[random.randint(-5, 5) for _ in range(random.randint(1, 12))] for _ in range(300)]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "id int, a array<int>")
+    for r in df.select("id", best_run(F.col("a")).alias("r")).collect():
+        a = arrays[r.id]
+        pairs = [(sum(a[i:j + 1]), -j, -i) for j in range(len(a)) for i in range(j + 1)]
+        total, j, i = max(pairs)
+        assert (r.r.best, r.r.first, r.r.last) == (total, -i + 1, -j + 1)
