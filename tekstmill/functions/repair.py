@@ -28,6 +28,8 @@ MISREAD = f"[\u00c2-\u00df]{FOLLOWING}|[\u00e0-\u00ef]{FOLLOWING}{{2}}|[\u00f0-\
 MISREAD_PATTERN = re.compile(MISREAD)
 # Signs that may well stand after a letter: quotes, dashes, the ellipsis, no-break spaces, inverted marks.
 AFTER_LETTERS = frozenset("‘’‚“”„‹›«»–—…•\u00a0¡¿´·\u00ad")
+# Of those, the ones after which even a capital Â or Ã is plausible: quotes, guillemets, dashes, the ellipsis.
+QUOTES_AND_DASHES = frozenset("‘’‚“”„‹›«»–—…")
 
 
 def _decoded(run: str) -> str | None:
@@ -40,8 +42,11 @@ def _decoded(run: str) -> str | None:
 
 def _is_certain(run: str) -> bool:
     """Whether no clean text has such a run: it opens with a letter that stands alone in few languages, or holds a
-    sign that doesn't follow letters. An Å before a quote is not certain."""
-    return run[0] in "ÂÃ" or run.startswith("â€") or not AFTER_LETTERS.issuperset(run[1:])
+    sign that doesn't follow letters. An Å before a quote is not certain, nor a capital Â or Ã before a quote, a
+    guillemet, a dash or an ellipsis (“AMANHÃ”, MAÇÃ…, IRMÃ—, LÂ»)."""
+    if run[0] in "ÂÃ":
+        return not QUOTES_AND_DASHES.issuperset(run[1:])
+    return run.startswith("â€") or not AFTER_LETTERS.issuperset(run[1:])
 
 
 def fix_misread(text: str) -> str:

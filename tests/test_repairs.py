@@ -13,6 +13,7 @@ from tekstmill.sources import readers, writers
 CLEAN = [
     "”SMÅ” og ”PÅ”, sagde hun – Å… så blå.", "FÅ– og Å“ Ä” Ö‘", "„Ä“ und „Ö“ – schön…", "À la carte, déjà vu, «ÂGE»", "café”… é”…",
     "NÃO é bom", "ÆØÅ æøå", "smör­gås", "Å dag", "", "plain ascii",
+    "“AMANHÃ”", "A MAÇÃ… E", "IRMÃ—", "LÂ»", "« CHÂTEAU »",
 ]
 
 
