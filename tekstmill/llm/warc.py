@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import bisect
-import datetime
 import hashlib
 import re
 import uuid
@@ -36,6 +35,7 @@ from .common import cut_lineage, open_store, read_table, scratch_path, slices, t
 from .token_files import make_folder
 
 ARCHIVE_BYTES = 64 << 20
+CENTURY_SECONDS = 3_155_760_000
 ARCHIVE_RECORDS = 50_000
 BLOCK_ENTRIES = 256
 # Entries that one merging task holds, about, and block keys that the driver sees, at most.
@@ -46,6 +46,24 @@ NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
+def warc_date(seconds: int) -> str:
+    """UTC date of Unix seconds as WARC writes it, for any 64-bit number of seconds (years beyond 9999 get more
+    digits), by the days-to-civil rule of the proleptic Gregorian calendar."""
+    days, rest = divmod(seconds, 86400)
+    z = days + 719468
+    era = z // 146097
+    doe = z - era * 146097
+    yoe = (doe - doe // 1460 + doe // 36524 - doe // 146096) // 365
+    doy = doe - (365 * yoe + yoe // 4 - yoe // 100)
+    mp = (5 * doy + 2) // 153
+    day = doy - (153 * mp + 2) // 5 + 1
+    month = mp + 3 if mp < 10 else mp - 9
+    year = yoe + era * 400 + (month <= 2)
+    hours, rest = divmod(rest, 3600)
+    minutes, secs = divmod(rest, 60)
+    return f"{year:04d}-{month:02d}-{day:02d}T{hours:02d}:{minutes:02d}:{secs:02d}Z"
+
+
 def url_key(url: str) -> str:
     """Host parts in reverse, then the path: what belongs together sorts together."""
     match = re.match(r"[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(:\d+)?([^#]*)", url.lower())
@@ -191,7 +209,7 @@ def write_archives(
                     if archive is None:
                         archive = Archive(folder, f"part-{part:06d}-{token()}.warc.gz")
                     digest = base64.b32encode(bytes.fromhex(digest)).decode()
-                    date = datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+                    date = warc_date(seconds)
                     kind = "response" if first is None else "revisit"
                     page = "" if page is None else page
                     record = record_bytes(kind, link, date, page, digest, size, body.encode(), first or "")
@@ -336,10 +354,12 @@ def read_captures(index: DataFrame, folder: str, id_type: str = "bigint") -> Dat
 
 
 def op1_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to WARC files and read back through the merged index; pages are captured a second apart."""
+    """Every page written to WARC files and read back through the merged index; pages are captured a second apart,
+    ids taken modulo the seconds of a century, so that any id gives a time of this century."""
     pages = read_table(spark, sf_dir, "pages")
     folder = scratch_path(spark, "warc")
-    time = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.col("page_id"), F.lit(0)))
+    offset = F.pmod(F.coalesce(F.col("page_id").cast("bigint"), F.lit(0)), F.lit(CENTURY_SECONDS))
+    time = F.timestamp_seconds(F.lit(1_704_067_200) + offset)
     index = merge_runs(write_archives(pages, folder, time=time))
     captures = read_captures(index, folder)
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

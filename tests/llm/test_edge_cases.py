@@ -178,3 +178,26 @@ def test_vectors(spark):
         ((False, 12), 0, 12, True), ((True, 0), 1, 3, False),
     ]
     assert nn_descent.near_duplicate_vectors(table.limit(0)).count() == 0
+
+
+def test_warc_dates_and_huge_ids(spark, tmp_path):
+    import datetime
+    import random
+
+    from pyspark.sql import functions as F
+
+    random.seed(2)
+    for seconds in [0, 1_704_067_200, *[random.randint(-30610224000, 253402300799) for _ in range(2000)]]:
+        expected = datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+        assert warc.warc_date(seconds) == expected
+    assert warc.warc_date(2**63 - 1).endswith("Z") and warc.warc_date(-(2**63)).endswith("Z")
+    pages = spark.createDataFrame(
+        [(2**63 - 1, "http://a.example/x", "<p>same</p>"), (300_000_000_000, "http://b.example/y", "<p>same</p>"),
+         (10**15, "http://c.example/z", None)],
+        "page_id bigint, url string, html string",
+    )
+    offset = F.pmod(F.col("page_id"), F.lit(warc.CENTURY_SECONDS))
+    folder = str(tmp_path / "warc")
+    index = warc.merge_runs(warc.write_archives(pages, folder, time=F.timestamp_seconds(F.lit(1_704_067_200) + offset)))
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_captures(index, folder).collect()}
+    assert got == {300_000_000_000: ("response", None), 2**63 - 1: ("revisit", 300_000_000_000), 10**15: ("response", None)}
