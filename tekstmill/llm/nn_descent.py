@@ -49,7 +49,10 @@ class DescentPlan:
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    """Rows scaled to length 1; each is first divided by its largest absolute component, so that neither the squares
+    of huge components overflow nor those of tiny ones vanish."""
+    scaled = matrix / np.abs(matrix).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _matrix(column: pa.Array, kind=np.float32) -> np.ndarray:
@@ -163,7 +166,7 @@ def _descend(edges: DataFrame, nodes: DataFrame, plan: DescentPlan) -> DataFrame
             dims = _dims(vecs)
             if len(dims) < 2 or (dims != dims[0]).any():
                 return None
-            x = _unit(_matrix(vecs))
+            x = _unit(_matrix(vecs, np.float64)).astype(np.float32)
             ids, limit = table["member"].to_numpy(), table["worst"].to_numpy()
             s = x @ x.T
             np.fill_diagonal(s, -3)

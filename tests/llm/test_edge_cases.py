@@ -201,3 +201,11 @@ def test_warc_dates_and_huge_ids(spark, tmp_path):
     index = warc.merge_runs(warc.write_archives(pages, folder, time=F.timestamp_seconds(F.lit(1_704_067_200) + offset)))
     got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_captures(index, folder).collect()}
     assert got == {300_000_000_000: ("response", None), 2**63 - 1: ("revisit", 300_000_000_000), 10**15: ("response", None)}
+
+
+def test_vectors_at_extremes_link(spark):
+    rows = [(1, [1e200, 0.0]), (2, [2e200, 0.0]), (3, [1e-200, 0.0]), (4, [2e-200, 0.0]), (5, [0.0, 1e-300]), (6, [0.0, 3e-300])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicate_vectors(vectors, vector="vector").collect()}
+    assert got[1] == got[2] == (3, 1) and got[3] == got[4] == (3, 1)
+    assert got[5] == got[6] == (1, 5)
