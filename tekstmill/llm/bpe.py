@@ -11,6 +11,7 @@ itself. Long texts are encoded whole. Extra columns pass through; one with the n
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -26,6 +27,9 @@ from .common import append_columns, map_texts, read_table
 
 # The white space of Unicode.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Fragments with more parts than this are merged with a heap; words longer than LONGEST_REMEMBERED are not remembered.
+LONG_FRAGMENT = 64
+LONGEST_REMEMBERED = 256
 PIECES = re.compile(f"[^{SPACE}]+")
 # Pieces and words that a worker remembers before a new generation begins; bounds its memory. What is still met moves
 # on from the generation before. Words cost more to encode than pieces to put together from words.
@@ -86,6 +90,8 @@ class ForcedBoundaryBPE:
         if last:
             parts[-1] += self.end
         get, none = self.ranks.get, len(self.ranks)
+        if len(parts) > LONG_FRAGMENT:
+            return [self.vocab[p] for p in self._merge_long(parts)]
         ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
         while ranks and (low := min(ranks)) < none:
             i = ranks.index(low)
@@ -97,12 +103,39 @@ class ForcedBoundaryBPE:
                 ranks[i - 1] = get((parts[i - 1], parts[i]), none)
         return [self.vocab[p] for p in parts]
 
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same merges for long fragments in O(n log n): pairs wait in a heap by (rank, left place), neighbours are
+        linked, and a popped pair counts only if it still stands there with that rank."""
+        get, none = self.ranks.get, len(self.ranks)
+        right = list(range(1, len(parts) + 1))
+        left = list(range(-1, len(parts) - 1))
+        alive = [True] * len(parts)
+        heap = [(r, i) for i, pair in enumerate(zip(parts, parts[1:])) if (r := get(pair, none)) < none]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = right[i]
+            if not alive[i] or j >= len(parts) or get((parts[i], parts[j]), none) != rank:
+                continue
+            parts[i] += parts[j]
+            alive[j] = False
+            right[i] = right[j]
+            if right[i] < len(parts):
+                left[right[i]] = i
+                if (r := get((parts[i], parts[right[i]]), none)) < none:
+                    heapq.heappush(heap, (r, i))
+            if left[i] >= 0 and (r := get((parts[left[i]], parts[i]), none)) < none:
+                heapq.heappush(heap, (r, left[i]))
+        return [p for p, a in zip(parts, alive) if a]
+
     def _word(self, word: str) -> bytes:
         fragments = self.cut(word.encode())
         last = len(fragments) - 1
         return array("i", [x for i, f in enumerate(fragments) for x in self.merge(f, i == last)]).tobytes()
 
     def _known_word(self, word: str) -> bytes:
+        if len(word) > LONGEST_REMEMBERED:
+            return self._word(word)
         found = self.known_words.get(word)
         if found is None:
             found = self.old_words.get(word)

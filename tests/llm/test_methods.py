@@ -351,3 +351,15 @@ def test_byte_pieces_equal_the_library_on_white_space():
         chunk = texts[low : low + 5000]
         for text, ids in zip(chunk, own.encode(chunk)):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_long_words_merge_like_the_library_in_time():
+    import time
+
+    own = bpe.load(WORD_BPE)
+    for unit in ("a", "ab", "thequickbrownfox", "tion"):
+        word = unit * (20_000 // len(unit))
+        began = time.perf_counter()
+        ids = own.encode(word).tolist()
+        assert time.perf_counter() - began < 5
+        assert ids == WORD_LIBRARY.encode(word, add_special_tokens=False).ids
