@@ -110,13 +110,10 @@ def read_documents(
         paths = [f"{data_folder.rstrip('/')}/{row['value'].strip()}" for row in listed.toLocalIterator()]
     docs = reader.parquet(*paths)
     if limit >= 0 or skip > 0:
-        order = list(order_by) or ["_metadata.file_path", "_metadata.row_index"]
-        if limit >= 0:
-            # The first rows of each task are merged; what is dropped is bounded by what is asked for.
-            docs = docs.orderBy(*order).limit(skip + limit)
-            docs = docs.orderBy(*order).offset(skip) if skip > 0 else docs
+        if order_by:
+            docs = rows_between(docs, list(order_by), skip, limit)
         else:
-            docs = drop_first(docs, order, skip)
+            docs = file_rows_between(docs, skip, limit)
     if adapter is not None:
         docs = docs.transform(adapter)
     renamed = {old: new for old, new in ((text_key, "text"), (id_key, "id")) if old != new}
@@ -134,10 +131,16 @@ def read_documents(
     return docs
 
 
-def drop_first(docs: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
-    """All rows but the first ``skip`` in an order, without a task that sees them all.
+def _in_window(position: Column, skip: int, limit: int) -> Column:
+    inside = position >= skip
+    return inside & (position < skip + limit) if limit >= 0 else inside
+
+
+def rows_between(docs: DataFrame, order: Sequence[str], skip: int, limit: int = -1) -> DataFrame:
+    """Rows ``skip`` to ``skip + limit`` (all from ``skip`` where ``limit`` < 0) in an order, without a task that sees
+    them all.
 
-    Rows are sorted by ranges, and of each range one count tells how many of its first rows go.
+    Rows are sorted by ranges, and of each range one count tells where its rows stand in the whole.
     """
     placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     placed = cut_lineage(placed, "ordered")
@@ -146,8 +149,33 @@ def drop_first(docs: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     # One row per range.
-    kept = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").filter(F.col("_before") + place >= skip)
-    return kept.orderBy("_at").select(*docs.columns)
+    kept = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return kept.filter(_in_window(F.col("_before") + place, skip, limit)).orderBy("_at").select(*docs.columns)
+
+
+def drop_first(docs: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
+    """All rows but the first ``skip`` in an order."""
+    return rows_between(docs, order, skip)
+
+
+def file_rows_between(docs: DataFrame, skip: int, limit: int = -1) -> DataFrame:
+    """Rows ``skip`` to ``skip + limit`` in the order of file and row position, from per-file row counts.
+
+    A first pass counts the rows of each file, reading no column; the counts, one row per file, are summed up in file
+    order and written, so that the join with them is planned by their true size. Each row's place in the whole is then
+    its file's offset plus its row position: rows are neither sorted nor moved before the cut, and files outside the
+    window drop out by the join. Only the rows kept are put in order at the end.
+    """
+    located = docs.withColumn("_file", F.col("_metadata.file_path")).withColumn("_row", F.col("_metadata.row_index"))
+    counts = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    wanted = F.col("_before") + F.col("_n") > skip
+    if limit >= 0:
+        wanted = wanted & (F.col("_before") < skip + limit)
+    offsets = cut_lineage(offsets.filter(wanted).select("_file", "_before"), "file-offsets")
+    kept = located.join(offsets, "_file").filter(_in_window(F.col("_before") + F.col("_row"), skip, limit))
+    return kept.orderBy("_file", "_row").select(*docs.columns)
 
 
 def union_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:

@@ -141,3 +141,16 @@ def test_broken_lines_are_counted(spark, tmp_path):
     assert {r.outcome: r.documents for r in stats} == {"kept": 1, "no_text": 1, "broken_record": 1, None: 3}
     assert spark.read.parquet(f"{tmp_path}/gone/rejected_by=broken_record").first()["_line"] == "no json"
     assert spark.read.parquet(f"{tmp_path}/out/filter_output").columns == ["id", "text", "token_count"]
+
+
+def test_skip_and_limit_without_one_task(spark, tmp_path):
+    spark.range(5000).selectExpr("cast(id as string) id", "'t' text").repartition(9).write.parquet(f"{tmp_path}/d")
+    whole = [r.id for r in readers.read_documents(spark, f"{tmp_path}/d", skip=0, limit=5000).collect()]
+    assert len(whole) == 5000
+    for skip, limit in [(0, 10), (1234, 1000), (4990, 100), (6000, 5), (0, 0)]:
+        got = readers.read_documents(spark, f"{tmp_path}/d", skip=skip, limit=limit)
+        assert [r.id for r in got.collect()] == whole[skip : skip + limit]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+    by_id = readers.read_documents(spark, f"{tmp_path}/d", skip=100, limit=50, order_by=["id"])
+    assert [r.id for r in by_id.collect()] == sorted(whole)[100:150]
