@@ -705,6 +705,7 @@ ORACLES: dict[str, str] = {
     "exclusion_sink": EXCLUSIONS,
     "sentence_windows": SENTENCE_WINDOWS,
     "sentence_duplicates": SENTENCE_DUPLICATES,
+    "sentence_duplicates_batches": SENTENCE_DUPLICATES,
     "sentence_dedup": SENTENCE_DEDUP,
     "minhash_signatures": MINHASH_SIGNATURES,
     "minhash_edges": MINHASH_EDGES,

@@ -17,7 +17,7 @@ from tekstmill.functions.repair import repair_text
 from tekstmill.functions.text import stop_words
 from tekstmill.operators import chain, crawl, extraction, filters, minhash_dedup, sentence_dedup, sentences, tables
 from tekstmill.plans import jobs
-from tekstmill.plans.lineage import scratch_path
+from tekstmill.plans.lineage import cut_lineage, scratch_path
 from tekstmill.sources import readers, schema, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -404,6 +404,23 @@ def sentence_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def sentence_duplicates_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``sentence_duplicates``, in two batches split at the median id: the second is deduplicated against
+    a lasting, bucketed index of the first."""
+    from tekstmill.operators.window_index import WindowIndex
+
+    docs = documents(spark, sf_dir)
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    first = docs.filter(F.col("doc_id") <= middle) if middle is not None else docs
+    second = docs.filter(F.col("doc_id") > middle) if middle is not None else docs.limit(0)
+    index = WindowIndex(spark)
+    windows = sentence_dedup.sentence_windows(first, hex_form=True)
+    found = cut_lineage(index.duplicates(windows), "batch-one")
+    index.add(windows)
+    more = index.duplicates(sentence_dedup.sentence_windows(second, hex_form=True))
+    return found.unionByName(more).withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def sentence_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sentence_dedup.deduplicate_sentences(documents(spark, sf_dir))
     return docs.withColumn("removed_sentences", F.col("removed_sentences").cast("bigint"))
@@ -602,6 +619,7 @@ QUERIES: dict[str, Query] = {
     "exclusion_sink": exclusion_sink,
     "sentence_windows": sentence_windows,
     "sentence_duplicates": sentence_duplicates,
+    "sentence_duplicates_batches": sentence_duplicates_batches,
     "sentence_dedup": sentence_dedup_query,
     "minhash_signatures": minhash_signatures,
     "minhash_edges": minhash_edges,

@@ -224,3 +224,33 @@ def test_one_permutation_fills_empty_bins():
     assert rows.shape == (1, 8)
     # The one shingle lies in bin 3 with value 5; bin j takes it at distance (3 - j) % 8.
     assert list(rows[0]) == [5 + ((3 - j) % 8) * rotation_step(8) for j in range(8)]
+
+
+def test_window_index_over_batches(spark):
+    from pyspark.sql import functions as F
+
+    from tekstmill.operators import sentence_dedup
+    from tekstmill.operators.window_index import WindowIndex
+
+    texts = ["A b. C d. E f. G h.", "C d. E f. G h. X.", "Y. Z. W. V.", "A b. C d. E f. Q.", "Y. Z. W. V."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {tuple(r) for r in sentence_dedup.duplicate_windows(sentence_dedup.sentence_windows(docs)).collect()}
+    index = WindowIndex(spark, buckets=4)
+    try:
+        got = set()
+        for batch in (docs.filter("doc_id < 2"), docs.filter("doc_id >= 2 and doc_id < 4"), docs.filter("doc_id >= 4")):
+            windows = sentence_dedup.sentence_windows(batch)
+            got |= {tuple(r) for r in index.duplicates(windows).collect()}
+            index.add(windows)
+        assert got == whole and whole
+        # A large index is not broadcast: then only the new windows are dealt into its buckets.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = index.known(sentence_dedup.sentence_windows(docs))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1, plan
+    finally:
+        index.drop()
