@@ -79,8 +79,7 @@ def main_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by block segmentation, with its landmarks (article, main, nav) renamed to div, so
     that menus go by their link density alone."""
     html = F.regexp_replace("html", r"(?i)<(/?)(article|main|nav)\b", "<$1div")
-    text = settle(pages(spark, sf_dir).select("page_id", html.alias("html")), "text", extract.main_text(F.col("html")))
-    return text.select("page_id", "text")
+    return extract.main_text(pages(spark, sf_dir).select("page_id", html.alias("html"))).select("page_id", "text")
 
 
 def json_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:

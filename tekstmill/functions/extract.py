@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .references import decode_references
+from .settle import settle
 from .text import bind
 
 # Page parts that are never body text. They are removed whole, one pattern per element,
@@ -236,19 +237,32 @@ def best_run(scores: Column) -> Column:
     return F.aggregate(scores, start, step)
 
 
-def main_text(html: Column) -> Column:
-    """Main text of a page by block segmentation, without landmarks: blocks between block tags are scored by
-    ``block_score`` and the run of greatest sum is kept, one line per block with text; references are decoded and
-    blanks evened out as in ``html_to_text``. NULL where no run has a positive sum or nothing is left. Pass it through
-    ``settle`` before anything names it more than once."""
+def main_text_lines(html: Column) -> Column:
+    """Native part of ``main_text``: the blocks of the run of greatest sum, without tags, one line each; NULL where no
+    run has a positive sum. References are not decoded yet."""
     blocks = F.split(_visible(html), BLOCK_TAG, -1)
 
     def pick(parts: Column) -> Column:
         run = bind(best_run(F.transform(parts, block_score)), lambda r: r)
         return bind(run, lambda r: F.when(r["best"] > 0, F.slice(parts, F.greatest(r["first"], F.lit(1)), F.greatest(r["last"] - r["first"] + 1, F.lit(1)))))
 
-    lines = F.transform(bind(blocks, pick), lambda b: F.regexp_replace(b, ANY_TAG, ""))
-    page = decode_references(F.array_join(lines, "\n"))
+    return F.array_join(F.transform(bind(blocks, pick), lambda b: F.regexp_replace(b, ANY_TAG, "")), "\n")
+
+
+def finish_lines(lines: Column) -> Column:
+    """References decoded, blanks evened out as in ``html_to_text``, NULL where nothing is left."""
+    page = decode_references(lines)
     page = F.regexp_replace(page, BLANKS, " ")
     page = F.regexp_replace(page, BLANKS_AT_BREAK, "\n")
     return F.nullif(F.btrim(page, F.lit("\n ")), F.lit(""))
+
+
+def main_text(df: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
+    """``df`` with the main text of each page by block segmentation, without landmarks: blocks between block tags are
+    scored by ``block_score`` and the run of greatest sum is kept, one line per block with text; references are
+    decoded and blanks evened out as in ``html_to_text``. NULL where no run has a positive sum or nothing is left.
+
+    The native part and the decoding are two projections: an Arrow function can't take an input built by lambdas in
+    the same one."""
+    lines = settle(df, "__lines", main_text_lines(F.col(html)))
+    return settle(lines, name, finish_lines(F.col("__lines"))).drop("__lines")

@@ -170,7 +170,7 @@ def test_main_text_without_landmarks(spark):
     related = '<div class="links"><a href="/x">Related one</a> <a href="/y">Related two</a></div>'
     pages = [(1, f"<html><body>{menu}{body}{related}</body></html>"), (2, None), (3, ""), (4, '<a href="/">only links</a>')]
     df = spark.createDataFrame(pages, "id int, html string")
-    got = {r.id: r.t for r in df.select("id", main_text(F.col("html")).alias("t")).collect()}
+    got = {r.id: r.t for r in main_text(df, "html", "t").collect()}
     assert got[1] == "A title here\nThe first paragraph of the story, with words in it.\nA second one, long enough to count as text & more."
     assert got[2] is None and got[3] is None and got[4] is None
 
