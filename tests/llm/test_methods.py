@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -335,8 +336,9 @@ def test_spark_entry_lists_them():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
-    assert {"op1_warc_merge", "op4_mix_sources"} <= set(entry.oracle_sql())
+    numbered = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
+    assert "pipeline" in names and numbered == list(range(1, 14))
+    assert {"op1_warc_merge", "op4_mix_sources", "op11_fill_in_middle"} <= set(entry.oracle_sql())
 
 
 def test_byte_pieces_equal_the_library_on_white_space():
