@@ -75,10 +75,15 @@ LANDMARKS = frozenset("article main h1".split())
 SMALL_SHARE, LARGE_SHARE = 0.3, 0.9
 
 
+# Elements nested deeper than this are folded into their parent, text and all, which bounds every walk of the tree.
+MAX_DEPTH = 200
+
+
 class Node:
-    __slots__ = ("tag", "kids", "parts", "skip", "listed", "linked", "sign", "size", "template")
+    __slots__ = ("tag", "kids", "parts", "skip", "listed", "linked", "sign", "size", "template", "depth")
 
-    def __init__(self, tag: str, skip: bool, listed: int = 0) -> None:
+    def __init__(self, tag: str, skip: bool, listed: int = 0, depth: int = 0) -> None:
+        self.depth = depth
         # Listed: its class or id is one of boilerplate, whether it is skipped depends on the page.
         self.tag, self.skip, self.listed = tag, skip, listed
         # Child elements, and in page order texts (str) and places of child elements (int).
@@ -140,17 +145,21 @@ def settle(root: Node) -> None:
 
 
 def parse(page: str) -> Node:
-    """The element tree. Plain inline elements belong to the element around them."""
+    """The element tree. Plain inline elements belong to the element around them, and so do elements nested deeper
+    than ``MAX_DEPTH``. Tags are looked for up to the last ``>`` of the page only: a ``<`` that no ``>`` follows is
+    text, and the search stays linear in the page."""
     root = Node("#page", False)
     stack, names = [root], ["#page"]  # inline elements stand on the stack as their block
+    opened = Counter(names)
     articles = links = at = 0
-    search = TOKEN.search
+    search, last = TOKEN.search, page.rfind(">") + 1
 
     def pop(k: int) -> None:
         nonlocal articles, links
         for name in names[k:]:
             articles -= name in ("article", "main")
             links -= name == "a"
+            opened[name] -= 1
         del stack[k:], names[k:]
 
     def text(value: str) -> None:
@@ -159,16 +168,20 @@ def parse(page: str) -> Node:
         if links:
             node.linked += len(value)
 
-    while match := search(page, at):
+    while match := search(page, at, last):
         if match.start() > at:
             text(page[at : match.start()])
         at = match.end()
         tag = match[2]
         if tag is None:
+            if match[0].startswith("<!--") and not match[0].endswith("-->"):
+                # A comment that is never closed holds the rest of the page.
+                at = len(page)
+                break
             continue
         tag = tag.lower()
         if match[1]:
-            if tag in names:
+            if opened[tag] > 0:
                 k = len(names) - 1
                 while names[k] != tag:
                     # The end of an inline element doesn't end the block that it is in.
@@ -189,7 +202,7 @@ def parse(page: str) -> Node:
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in CLOSES_P and "p" in names:
+        if tag in CLOSES_P and opened["p"] > 0:
             k = len(names) - 1
             while k and names[k] != "p" and (names[k] in INLINE):
                 k -= 1
@@ -203,18 +216,19 @@ def parse(page: str) -> Node:
             if names[k] in same:
                 pop(k)
         skip, listed = _is_boilerplate(tag, attributes, articles > 0)
-        if tag in INLINE and not (skip or listed):
+        if tag in INLINE and not (skip or listed) or stack[-1].depth >= MAX_DEPTH:
             stack.append(stack[-1])
             links += tag == "a"
         else:
             parent = stack[-1]
-            node = Node(tag, skip, listed)
+            node = Node(tag, skip, listed, parent.depth + 1)
             parent.parts.append(len(parent.kids))
             parent.kids.append(node)
             stack.append(node)
             articles += tag in ("article", "main")
             links += tag == "a"
         names.append(tag)
+        opened[tag] += 1
     if at < len(page):
         text(page[at:])
     settle(root)

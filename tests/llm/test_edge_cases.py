@@ -209,3 +209,22 @@ def test_vectors_at_extremes_link(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicate_vectors(vectors, vector="vector").collect()}
     assert got[1] == got[2] == (3, 1) and got[3] == got[4] == (3, 1)
     assert got[5] == got[6] == (1, 5)
+
+
+def test_wrapper_deep_and_broken_pages():
+    import time
+
+    pages = {
+        "<html><body>" + "<div>" * 100_000 + "deep text" + "</div>" * 100_000 + "<article><p>Main text.</p></article></body></html>": "Main text.",
+        "<html><body><article><p>Start</p>" + "<a b " * 200_000 + "</article></body></html>": "Start",
+        "<p>x</p>" + "<a b " * 200_000: None,
+        "<p>kept</p><!-- never closed <p>gone</p>": "kept",
+    }
+    for page, expected in pages.items():
+        began = time.perf_counter()
+        text = wrapper.main_text(wrapper.parse(page))
+        assert time.perf_counter() - began < 10
+        if expected is not None:
+            assert text == expected
+        else:
+            assert text.startswith("x <a b <a b") and len(text) > 900_000
