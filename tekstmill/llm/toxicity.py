@@ -44,10 +44,9 @@ MARKS = re.compile("[\u0300-\u036f]+")
 HIDDEN = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\xad]+")
 GAPS = re.compile(r"[\W_]+")
 STEM_LENGTHS = range(4, 9)
-# Documents learned from, at most. Bounds the training jobs whatever the size of the corpus.
+# Documents learned from, at most. Bounds the training jobs whatever the size of the corpus, and with them the stems
+# and exception phrases that reach the driver: those come from the training documents alone.
 TRAIN_ROWS = 10_000
-# Stems that training may keep.
-LEXICON_ROWS = 5_000
 # Near copies: most of their words are the same, so that short texts are some as well.
 COPIES = ForestPlan(words=1)
 
@@ -182,8 +181,12 @@ def _contexts(train: DataFrame, stems: list[str]) -> DataFrame:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
                 folded = fold(text)
                 for end, stem in automaton.iter(folded):
-                    words = folded[end - len(stem) + 1 : end + 200].split(" ", 2)
-                    rows.append((stem, words[0], words[1] if len(words) > 1 else "", y))
+                    # The whole word that the stem begins, and the whole word after it, however long.
+                    start = end - len(stem) + 1
+                    gap = folded.find(" ", start)
+                    after = folded.find(" ", gap + 1) if gap >= 0 else -1
+                    word = folded[start:gap] if gap >= 0 else folded[start:]
+                    rows.append((stem, word, folded[gap + 1 : after] if after >= 0 else "", y))
             kinds = [pa.string(), pa.string(), pa.string(), pa.int32()]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["stem", "word", "next", "y"])
@@ -210,19 +213,18 @@ def learn_lexicon(
     candidates = (
         _stem_counts(counted).withColumn("odds", odds)
         .filter((F.col("toxic_docs") >= least_count) & (F.col("odds") >= least_odds))
-        .orderBy(F.desc("toxic_docs"), F.desc("odds"), "stem").limit(LEXICON_ROWS).collect()
+        .orderBy(F.desc("toxic_docs"), F.desc("odds"), "stem").collect()
     )
     if candidates:
-        by_context = _contexts(counted, [c["stem"] for c in candidates]).cache()
+        by_context = cut_lineage(_contexts(counted, [c["stem"] for c in candidates]), "toxicity-contexts")
         varied = by_context.groupBy("stem").agg(F.count_if(F.col("toxic") > 0).alias("n"))
         contexts = dict(varied.collect())
         known = {c["stem"]: c for c in candidates if contexts.get(c["stem"], 0) >= least_count}
         kept = _without_nested(known)
         lexicon.weights = {s: float(known[s]["odds"]) for s in kept}
         benign = by_context.filter((F.col("clean") >= least_count) & (F.col("toxic") == 0) & F.col("stem").isin(kept))
-        rows_ = benign.select(F.concat_ws(" ", "word", "next").alias("phrase")).distinct().limit(LEXICON_ROWS).collect()
+        rows_ = benign.select(F.concat_ws(" ", "word", "next").alias("phrase")).distinct().orderBy("phrase").collect()
         lexicon.exceptions |= {r["phrase"].strip() for r in rows_}
-        by_context.unpersist()
 
     def measure():
         automaton = lexicon.automaton()

@@ -228,3 +228,10 @@ def test_wrapper_deep_and_broken_pages():
             assert text == expected
         else:
             assert text.startswith("x <a b <a b") and len(text) > 900_000
+
+
+def test_toxicity_contexts_take_whole_words(spark):
+    long_word = "scum" + "x" * 1000
+    train = spark.createDataFrame([(f"you {long_word} {'y' * 500} again", 1), ("plain words here", 0)], "text string, y int")
+    rows = toxicity._contexts(train, ["scum"]).collect()
+    assert [(r.word, r.next) for r in rows] == [(long_word, "y" * 500)]
