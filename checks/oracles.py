@@ -153,9 +153,12 @@ select page_id, name as filename,
   size::BIGINT as filesize, 0::INTEGER as page_count, path as file_path
 from n"""
 
-RECORDS = rf"""with n as (select html, octet_length(encode(html)) as size, string_split({PAGE_PATH}, '/')[-1] as name from pages)
+RECORDS = rf"""with p as (select html, octet_length(encode(html)) as size, {PAGE_PATH} as path from pages),
+n as (select *, string_split(path, '/')[-1] as name from p)
 select replace('web crawl-' || name, ' ', '-') as id, html as text, 'web crawl' as source, '{NOW}' as added,
-  '2000-01-01 00:00:00, {NOW}' as created, name as filename, size::BIGINT as filesize
+  '2000-01-01 00:00:00, {NOW}' as created, name as filename,
+  case when contains(ltrim(name, '.'), '.') then substr(ltrim(name, '.'), strpos(ltrim(name, '.'), '.')) else '' end as filetype,
+  size::BIGINT as filesize, 0::INTEGER as page_count, path as file_path
 from n"""
 
 ROUTES = r"""with p as (select doc_id, ['txt', 'md', 'html', 'json', 'HTML', 'pdf'][((length(source) + n_chars) % 6 + 1)::INTEGER] as s, source from documents)
@@ -302,7 +305,7 @@ def pair_shares_sql() -> str:
 
 
 CLEAN_TABLE = """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-  l_returnflag as note, l_linestatus, {partly} l_returnflag || l_linestatus as note_1
+  l_returnflag as note, l_linestatus, l_shipdate, {partly} l_returnflag || l_linestatus as note_1
 from (select *, case when l_linenumber <= 3 then -1.0::DOUBLE else l_quantity end as partly from lineitem)"""
 
 STRIP = "select doc_id, replace(text, chr(10), '') as text, lang from documents"

@@ -218,7 +218,8 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = extract.file_metadata(_page_path(), F.octet_length("html"))
     record = extract.document_record(F.col("html"), F.lit("web crawl"), meta, NOW)
     return pages(spark, sf_dir).select(*record).select(
-        "id", "text", "source", "added", "created", "metadata.filename", "metadata.filesize"
+        "id", "text", "source", "added", "created", "metadata.filename", "metadata.filetype", "metadata.filesize",
+        "metadata.page_count", "metadata.file_path",
     )
 
 
@@ -278,7 +279,7 @@ def column_pair_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = _wide_lineitem(spark, sf_dir).drop("l_shipdate")
+    wide = _wide_lineitem(spark, sf_dir)
     names = ["note" if c == "l_returnflag" else c for c in wide.columns]
     return tables.clean_table(wide.toDF(*names), 0.8)
 
