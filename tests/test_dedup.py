@@ -254,3 +254,69 @@ def test_window_index_over_batches(spark):
         assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1, plan
     finally:
         index.drop()
+
+
+def test_permuted_minima_where_first_lanes_repeat():
+    import numpy as np
+
+    from tekstmill.functions import minhash
+
+    plan = minhash.MinHashPlan(buckets=2, rows=3)
+    rng = np.random.default_rng(1)
+    lengths = np.array([3, 0, 700, 1, 9000, 40])
+    packed = rng.integers(0, 1 << 56, lengths.sum())
+    # In some texts, first lanes that several second lanes share, and shingles that come again.
+    packed[100:400] = packed[5] >> 28 << 28 | rng.integers(0, 1 << 28, 300)
+    packed[2000:3000] = packed[3000:4000]
+    texts = np.split(packed, np.cumsum(lengths)[:-1])
+    expected = [
+        [min((((int(x) >> 28) * a + b) % minhash.PRIME << 31) + ((int(x) & (1 << 28) - 1) * c + d) % minhash.PRIME for x in t)
+         for a, b, c, d in plan.coefficients()]
+        for t in texts if len(t)
+    ]
+    assert minhash.permuted_minima(packed, lengths, plan).tolist() == expected
+
+
+def test_md5_lanes_of_joined_words():
+    import hashlib
+
+    from tekstmill.functions.minhash import md5_lanes
+
+    def lane(words):
+        digest = hashlib.md5(" ".join(words).encode()).hexdigest()
+        return int(digest[:7] + digest[8:15], 16)
+
+    split = "straße é 1 b c d".split()
+    assert md5_lanes("straße é 1 b c d".encode(), 5).tolist() == [lane(split[:5]), lane(split[1:])]
+    assert md5_lanes(b"a b", 3).tolist() == []
+    assert md5_lanes(b"a b", 1).tolist() == [lane(["a"]), lane(["b"])]
+
+
+@pytest.mark.parametrize("scheme", ["permutations", "one_permutation"])
+def test_signature_work_arrays_do_not_grow_with_the_batch(scheme):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tekstmill.functions import minhash
+    from tekstmill.functions.batches import parts
+
+    plan = minhash.MinHashPlan(buckets=1, rows=4, scheme=scheme)
+    peaks = []
+    for texts in (400, 1600):
+        values = np.random.default_rng(2).integers(0, 1 << 56, texts * 1000)
+        batch = pa.ListArray.from_arrays(np.arange(0, texts * 1000 + 1, 1000, dtype=np.int32), pa.array(values))
+        tracemalloc.start()
+        for part in parts(batch, minhash.PART_ITEMS):
+            minhash.signature_rows(part, plan)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.2 * peaks[0]
+
+
+def test_null_and_short_texts_have_no_signature(spark, texts):
+    rows = texts(None, "", " ", "a b c d", "a b c d e", "a-b c d e f")
+    for scheme in ("permutations", "one_permutation"):
+        plan = MinHashPlan(shingle_hash="md5", scheme=scheme)
+        assert {r.doc_id for r in minhash_dedup.minhash_signatures(rows, plan=plan).collect()} == {4, 5}
