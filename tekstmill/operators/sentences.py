@@ -25,6 +25,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.settle import settle
 from ..plans.lineage import cut_lineage
 
 # White space as a class of its own, so that Java's and RE2's patterns agree.
@@ -39,20 +40,26 @@ LITERAL_ROWS = 20_000
 
 def learn_abbreviations(docs: DataFrame, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """(type, with_period, tokens, lower_next, score) of every abbreviation of the texts, written and read back."""
-    split = docs.select(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), BLANK + "+"), lambda t: t != "").alias("ts"))
-    pairs = F.transform("ts", lambda t, i: F.struct(t.alias("t"), F.get(F.col("ts"), i + 1).alias("next")))
+    split = settle(docs.select(text), "ts", F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), BLANK + "+"), ""))
+    # The last token has NULL after it.
+    pairs = F.arrays_zip(F.col("ts").alias("t"), F.slice("ts", F.lit(2), F.array_size("ts")).alias("next"))
     tokens = split.select(F.inline(pairs))
     final = F.col("t").endswith(".") & ~F.col("t").endswith("..")
-    typed = tokens.select(
+    lower_next = final & F.coalesce(F.col("next").rlike(r"^[\p{Ll}\p{N}]"), F.lit(False))
+    # The texts are read once: tokens are counted as they stand, and what follows sees each distinct one once.
+    counted = tokens.select("t", lower_next.alias("lower_next")).groupBy("t", "lower_next").agg(F.count(F.lit(1)).alias("times"))
+    counted = cut_lineage(counted, "tokens")
+    typed = counted.select(
         F.lower(F.when(final, F.expr("substring(t, 1, length(t) - 1)")).otherwise(F.col("t"))).alias("type"),
-        final.alias("final"),
-        (final & F.coalesce(F.col("next").rlike(r"^[\p{Ll}\p{N}]"), F.lit(False))).alias("lower_next"),
+        F.when(final, F.col("times")).otherwise(0).alias("final"),
+        F.when(F.col("lower_next"), F.col("times")).otherwise(0).alias("lower_next"),
+        "times",
     )
     # Totals and per-type counts in one aggregation each; the totals are two numbers.
-    totals = typed.agg(F.count(F.lit(1)).alias("n"), F.count_if("final").alias("n_final")).first()
+    totals = typed.agg(F.sum("times").alias("n"), F.sum("final").alias("n_final")).first()
     n, n_final = totals["n"] or 0, totals["n_final"] or 0
     counts = typed.filter(F.col("type").rlike(TYPE)).groupBy("type").agg(
-        F.count_if("final").alias("with_period"), F.count(F.lit(1)).alias("tokens"), F.count_if("lower_next").alias("lower_next")
+        F.sum("final").alias("with_period"), F.sum("times").alias("tokens"), F.sum("lower_next").alias("lower_next")
     )
     if n == 0 or n_final == 0:
         return cut_lineage(counts.withColumn("score", F.lit(0.0)).limit(0), "abbreviations")
@@ -92,7 +99,8 @@ def learned_sentences(docs: DataFrame, abbreviations: DataFrame, key: str = "doc
     if size <= literal_rows:
         known = [r["type"] for r in abbreviations.select("type").collect()]
         protected = F.array_join(_protect_tokens(tokens, lambda kind: kind.isin(known) if known else F.lit(False)), "")
-        return docs.withColumn("sentences", F.when(F.col(text).isNotNull(), cut_sentences(protected)).otherwise(F.array()))
+        # Settled, or whoever explodes the sentences has them cut twice: once for their number.
+        return settle(docs, "sentences", F.when(F.col(text).isNotNull(), cut_sentences(protected)).otherwise(F.array()))
     # Beyond the bound: join the candidates, bring back the places of protected periods.
     spread = docs.select(key, F.posexplode(tokens).alias("__i", "__t")).filter(F.col("__t").endswith("."))
     spread = spread.withColumn("type", F.lower(F.substring("__t", F.lit(1), F.length("__t") - 1)))
