@@ -49,3 +49,10 @@ def test_empty_corpus(spark):
     empty = spark.createDataFrame([], "doc_id int, text string")
     assert sentences.learn_abbreviations(empty).count() == 0
     assert sentences.learned_sentences(empty, sentences.learn_abbreviations(empty)).count() == 0
+
+
+def test_exploded_sentences_are_cut_once(spark, corpus):
+    cut = sentences.learned_sentences(corpus, sentences.learn_abbreviations(corpus)).selectExpr("doc_id", "explode(sentences) as s")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    # Tokens and sentences: one search each.
+    assert plan.count("regexp_extract_all(") == 2
