@@ -365,3 +365,11 @@ def test_long_words_merge_like_the_library_in_time():
         ids = own.encode(word).tolist()
         assert time.perf_counter() - began < 5
         assert ids == WORD_LIBRARY.encode(word, add_special_tokens=False).ids
+
+
+def test_word_bpe_decodes_columns_like_lists():
+    import pyarrow as pa
+
+    own = bpe.load(WORD_BPE)
+    ids = [own.encode(t).tolist() for t in ("", "One two, three!", "Straße 12 日本", "")] + [[]]
+    assert own.decode_column(pa.array(ids, pa.list_(pa.int32()))).to_pylist() == [own.decode(x) for x in ids]
