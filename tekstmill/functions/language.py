@@ -46,8 +46,10 @@ def learn_profiles(
     ranking then sees one row per distinct trigram, and Spark
     cuts each task's share to ``size`` rows per language before it shuffles them.
     """
-    words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(LETTERS), F.lit(0)))
-    words = docs.select(F.col(lang_col).alias("lang"), words.alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("times"))
+    cut = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(LETTERS), F.lit(0))
+    # Settled, or the texts are cut twice: once for the number of their words.
+    words = settle(docs.select(F.col(lang_col).alias("lang"), F.col(text_col)), "_cut", cut)
+    words = words.select("lang", F.explode("_cut").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("times"))
     counts = (
         words.select("lang", "times", F.explode(trigrams(F.col("word"))).alias("gram"))
         .groupBy("lang", "gram")

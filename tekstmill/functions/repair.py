@@ -18,6 +18,8 @@ STRAIGHT_QUOTES = "''''" + '""""'
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F\x{FEFF}]"
 TERMINAL_ESCAPE = r"\x1B\[[0-9;]*[A-Za-z]"
 COMBINING = r"\p{M}"
+# A text without any of these is left as it is by all repairs after those of references and encodings.
+ODD_SIGN = rf"[{CONTROL[1:-1]}{CURLY_QUOTES}{COMBINING}]"
 
 
 # Signs of the Western single-byte encoding beyond Latin-1, and the byte of each.
@@ -26,6 +28,8 @@ WESTERN.pop("", None)
 FOLLOWING = "[\u0080-\u00bf" + "".join(sorted(WESTERN)) + "]"
 MISREAD = f"[\u00c2-\u00df]{FOLLOWING}|[\u00e0-\u00ef]{FOLLOWING}{{2}}|[\u00f0-\u00f4]{FOLLOWING}{{3}}"
 MISREAD_PATTERN = re.compile(MISREAD)
+# How every misread run begins, without alternatives.
+MISREAD_START = f"[\u00c2-\u00f4]{FOLLOWING}"
 # Signs that may well stand after a letter: quotes, dashes, the ellipsis, no-break spaces, inverted marks.
 AFTER_LETTERS = frozenset("‘’‚“”„‹›«»–—…•\u00a0¡¿´·\u00ad")
 # Of those, the ones after which even a capital Â or Ã is plausible: quotes, guillemets, dashes, the ellipsis.
@@ -70,7 +74,7 @@ def fix_mojibake(text: Column) -> Column:
     def fix(batch: pa.Array) -> pa.Array:
         return pa.array([None if t is None else fix_misread(t) for t in batch.to_pylist()], pa.string())
 
-    return F.coalesce(fix(F.when(text.rlike(MISREAD), text)), text)
+    return F.coalesce(fix(F.when(text.rlike(MISREAD_START) & text.rlike(MISREAD), text)), text)
 
 
 def drop_controls(text: Column) -> Column:
@@ -103,14 +107,15 @@ def repair_text(
     input several times."""
     text = F.col(text_col)
     if entities:
-        plain = text.rlike(REFERENCE.pattern) & ~text.contains("<")
+        plain = text.contains("&") & text.rlike(REFERENCE.pattern) & ~text.contains("<")
         docs = settle(docs, text_col, F.coalesce(decode_references(F.when(plain, text)), text))
     if mojibake:
         docs = settle(docs, text_col, fix_mojibake(text))
-    if controls:
-        docs = docs.withColumn(text_col, drop_controls(text))
-    if quotes:
-        docs = docs.withColumn(text_col, F.translate(text, CURLY_QUOTES, STRAIGHT_QUOTES))
+    if controls or quotes:
+        mended = drop_controls(text) if controls else text
+        mended = F.translate(mended, CURLY_QUOTES, STRAIGHT_QUOTES) if quotes else mended
+        # One search of the text instead of one for each repair.
+        docs = settle(docs, text_col, F.when(text.rlike(ODD_SIGN), mended).otherwise(text))
     if unicode_form:
         docs = settle(docs, text_col, normal_form(text, unicode_form))
     return docs

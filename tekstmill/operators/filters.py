@@ -77,11 +77,12 @@ def language_filter(
     return scored.withColumn("reason", F.when(rejected, F.lit("other_language")))
 
 
-def line_repetition(text: Column) -> dict[str, Column]:
-    """Shares of repeated lines and paragraphs, by number and by characters."""
+def line_repetition(text: Column, cut: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """Shares of repeated lines and paragraphs, by number and by characters. ``cut`` holds the paragraphs and the lines
+    where they are columns already."""
     size = F.length(text)
     out = {}
-    for name, parts in (("paragraph", paragraphs(text)), ("line", lines(text))):
+    for name, parts in (cut or {"paragraph": paragraphs(text), "line": lines(text)}).items():
         once = F.array_distinct(parts)
         out[f"dup_{name}_share"] = share(F.array_size(parts) - F.array_size(once), F.array_size(parts))
         out[f"dup_{name}_char_share"] = share(text_length(parts) - text_length(once), size)
@@ -113,14 +114,17 @@ def repetition_filter(
 ) -> DataFrame:
     """Reject texts that repeat lines, paragraphs or word n-grams (Rae et al. 2021)."""
     keep = docs.columns
-    checked = docs.withColumns({f"_{k}": v for k, v in line_repetition(F.col(text_col)).items()})
+    # Each rule names them several times.
+    checked = settle(docs, "_cut", F.struct(paragraphs(F.col(text_col)).alias("paragraph"), lines(F.col(text_col)).alias("line")))
+    cut = {"paragraph": F.col("_cut.paragraph"), "line": F.col("_cut.line")}
+    checked = checked.withColumns({f"_{k}": v for k, v in line_repetition(F.col(text_col), cut).items()})
     line_rules = [
         ("dup_paragraph_share", F.col("_dup_paragraph_share") > max_dup_paragraph_share),
         ("dup_paragraph_char_share", F.col("_dup_paragraph_char_share") > max_dup_paragraph_char_share),
         ("dup_line_share", F.col("_dup_line_share") > max_dup_line_share),
         ("dup_line_char_share", F.col("_dup_line_char_share") > max_dup_line_char_share),
     ]
-    checked = checked.withColumn("_lines", first_reason(line_rules))
+    checked = settle(checked, "_lines", first_reason(line_rules)).drop("_cut", *[f"_{k}" for k in line_repetition(F.col(text_col))])
     # N-grams are counted only for texts that pass the line rules.
     checked = checked.withColumn("_live", F.when(F.col("_lines").isNull(), F.col(text_col)))
     checked = ngram_repetition(checked, "_live", tuple(top_ngram_shares), tuple(dup_ngram_shares))

@@ -154,3 +154,12 @@ def test_skip_and_limit_without_one_task(spark, tmp_path):
         assert "SinglePartition" not in plan and "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
     by_id = readers.read_documents(spark, f"{tmp_path}/d", skip=100, limit=50, order_by=["id"])
     assert [r.id for r in by_id.collect()] == sorted(whole)[100:150]
+
+
+def test_repairs_search_a_text_once_for_odd_signs(texts):
+    given = texts("a\u0007b", "“q”", "é", "\x1b[31mred\x1b[0m", "﻿x", "“\u0007é”", "plain & <b>", "Ãå”")
+    mended = repair_text(given)
+    assert [r.text for r in mended.orderBy("doc_id").collect()] == ["ab", '"q"', "é", "red", "x", '"é"', "plain & <b>", 'Ãå"']
+    plan = mended._jdf.queryExecution().optimizedPlan().toString()
+    # Clean texts pass by the removal of controls and the change of quotes.
+    assert "CASE WHEN RLIKE(text" in plan.split("translate(")[0].rsplit("explode(", 1)[1]
