@@ -13,8 +13,9 @@ the outputs below it, and a text has the bands of the grades that it can share w
 per band grow with the number of fingerprints, so that bands meet seldom by chance, and the number of bands follows
 from the threshold and a target recall, for the worst place that the differences can have. Texts with a band in common
 are tied to the first of it and ties are verified by the likeness of the fingerprints. Where texts of a band are left
-that no tie connects, its texts and those of the bands they share are compared in blocks, all with all. Components
-become classes.
+that no tie connects, those of it that are apart are compared in blocks, all with all. Bands that share texts are not
+compared with each other: bands meet by chance so often that they hang together, and the more the larger the table.
+Components become classes.
 
 Inputs: NULL counts as the empty text, whose fingerprint is ``0:`` (alike to itself by 1, to any other by 0). Equal
 texts have equal fingerprints; so repeated rows do. Texts of any length are walked whole. Rows go by descending id,
@@ -39,7 +40,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tekstmill.operators.components import connected_components
 
 from .common import cut_lineage, read_table, text_or_empty
-from .forest import _roots
 
 PERIOD = 1 << 10
 CLASSES = 32
@@ -51,8 +51,9 @@ CHANCE = 0.25
 # Step from one grade of lengths to the next, and the share of pairs at the threshold that bands are to find.
 GRADE = 1.25
 RECALL = 0.999
-# Fingerprints of a component that meet at a time.
+# Fingerprints of a band that meet at a time, and pairs whose samples lie in memory together.
 BLOCK_ROWS = 1024
+PAIRS = 1 << 14
 
 
 @lru_cache(1)
@@ -282,25 +283,38 @@ def _bands(grade: int, bands: int, width: int) -> np.ndarray:
     return octave * SAMPLES + np.floor(random.random((bands, width)) * inside[octave]).astype(np.int64)
 
 
-def band_keys(print_: str, threshold: float, bands: int, width: int) -> np.ndarray:
-    """Keys of the bands of all grades that a text of this length shares with one at the threshold. Only the empty
-    text has none; it is like no other."""
-    length, bits = samples(print_)
-    if length == 0:
-        return np.zeros(0, np.int64)
-    grades = _grades()
-    high = int(np.searchsorted(grades, length, side="right"))
+def _unpacked(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Output lengths, where the octaves of each fingerprint begin, and the samples of all of them, one row per octave."""
+    parts = [p.partition(":") for p in prints]
+    lengths = np.array([int(n, 16) for n, _, _ in parts], np.int64)
+    packed = np.frombuffer(b"".join([base64.b64decode(c) for _, _, c in parts]), np.uint8)
+    bits = np.stack([packed >> k & 3 for k in (0, 2, 4, 6)], axis=1).reshape(-1, SAMPLES)
+    octaves = np.searchsorted(STARTS, lengths)
+    return lengths, np.cumsum(octaves) - octaves, bits
+
+
+def band_keys(prints: list[str], threshold: float, bands: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the bands of all grades that texts of these lengths share with one at the threshold, and whose they are.
+    Only the empty text has none; it is like no other."""
+    lengths, begins, bits = _unpacked(prints)
+    flat, grades = bits.ravel(), _grades()
+    high = np.searchsorted(grades, lengths, side="right")
     # The shorter of a pair has a share of at least the threshold, and a grade not far below its length.
-    low = min(high - 1, int(np.searchsorted(grades, int(length * threshold), side="right")) - 1)
-    flat, keys = bits.ravel().astype(np.uint64), []
-    for grade in range(max(0, low), high):
-        values = np.zeros(bands, np.uint64)
-        for column in flat[_bands(grade, bands, width)].T:
-            values = (values ^ column) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
+    low = np.searchsorted(grades, (lengths * threshold).astype(np.int64), side="right") - 1
+    low = np.maximum(0, np.minimum(high - 1, low))
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for grade in range(int(low.min(initial=0)), int(high.max(initial=0))):
+        some = np.flatnonzero((low <= grade) & (grade < high))
+        if len(some) == 0:
+            continue
+        values = np.zeros((len(some), bands), np.uint64)
+        for column in _bands(grade, bands, width).T:
+            values = (values ^ flat[begins[some, None] * SAMPLES + column]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
             values ^= values >> np.uint64(29)
         values ^= np.uint64(grade << 32) + np.arange(bands, dtype=np.uint64)
-        keys.append((values * np.uint64(0xD6E8FEB86659FD93)).view(np.int64))
-    return np.concatenate(keys)
+        rows.append(np.repeat(some, bands))
+        keys.append((values * np.uint64(0xD6E8FEB86659FD93)).view(np.int64).ravel())
+    return np.concatenate(rows), np.concatenate(keys)
 
 
 def _laid_out(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -326,16 +340,32 @@ def likeness_table(left: list[str], right: list[str]) -> np.ndarray:
     return total / np.maximum(1, np.maximum(n[:, None], m[None, :]))
 
 
+def likeness_of(lengths: np.ndarray, begins: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``likeness`` of pairs of rows of ``_unpacked``, none of them equal."""
+    total = np.zeros(len(left), np.float64)
+    for low in range(0, len(left), PAIRS):
+        a, b = left[low : low + PAIRS], right[low : low + PAIRS]
+        shorter = np.minimum(lengths[a], lengths[b])
+        for k in range(octaves_of(int(shorter.max()))):
+            at = np.flatnonzero(shorter > STARTS[k])
+            inside = _positions()[k] < shorter[at, None]
+            same = (bits[begins[a[at]] + k] == bits[begins[b[at]] + k]) & inside
+            alike = same.sum(1) / np.maximum(1, inside.sum(1))
+            alike = np.clip((alike - CHANCE) / (1 - CHANCE), 0, 1)
+            total[low + at] += alike * np.minimum(shorter[at] - STARTS[k], STARTS[k + 1] - STARTS[k])
+    return total / np.maximum(1, np.maximum(lengths[left], lengths[right]))
+
+
 def _ties(distinct: DataFrame, threshold: float, bands: int, width: int) -> DataFrame:
     """(key, node, first) of every fingerprint but the first of each band."""
 
     def keys(batches):
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
-                found = [band_keys(p, threshold, bands, width) for p in some.column("fingerprint").to_pylist()]
-                nodes = np.repeat(some.column("node").to_numpy(), [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(nodes)], names=["key", "node"])
+            for low in range(0, batch.num_rows, 1024):
+                some = batch.slice(low, 1024)
+                rows, found = band_keys(some.column("fingerprint").to_pylist(), threshold, bands, width)
+                nodes = some.column("node").to_numpy()[rows]
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(nodes)], names=["key", "node"])
 
     def tie(batches):
         last, first = None, 0
@@ -364,8 +394,9 @@ def _verified(ties: DataFrame, distinct: DataFrame, threshold: float) -> DataFra
 
     def verify(batches):
         for batch in batches:
-            a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
-            good = pa.array([likeness(x, y) >= threshold for x, y in zip(a, b)], pa.bool_())
+            prints = [p for c in ("a", "b") for p in batch.column(c).to_pylist()]
+            at = np.arange(batch.num_rows)
+            good = pa.array(likeness_of(*_unpacked(prints), at, at + batch.num_rows) >= threshold, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("first")], names=["src", "dst"]).filter(good)
 
     pairs = ties.select("node", "first").distinct()
@@ -379,53 +410,52 @@ def _compared(ties: DataFrame, groups: DataFrame, distinct: DataFrame, threshold
     known = members.join(groups, "node", "left").withColumn("c", F.coalesce("cluster", "node"))
     # The only pair of a band of two is verified already.
     apart = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("n"))
-    keys = apart.filter("n > 2 and low < high").select("key")
-    open_ = ties.join(keys, "key", "left_semi").select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct()
-    met = cut_lineage(connected_components(open_).select("node", F.col("cluster").alias("component")), "print-open")
-    size = met.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = met.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    open_ = apart.filter("n > 2 and low < high").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    met = cut_lineage(known.select("key", "node", "c").join(open_, "key"), "print-open")
+    dealt = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.join(distinct.select("node", "fingerprint"), "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = dealt.select("*", other).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "fingerprint"
-    )
-    names = ["component", "low", "high"]
-    paired = paired.repartition(*names).sortWithinPartitions(*names, "node")
+    names, facts = ["key", "low", "high"], ["block", "node", "c", "fingerprint"]
+    paired = dealt.select("*", other).select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *facts)
+    paired = paired.repartition(*names).sortWithinPartitions(*names, "block")
+
+    def pairs(rows, low, start):
+        """Places of the pairs of one group of rows that ties leave apart: all with all, or those of one block with
+        those of the other."""
+        block, cluster = (np.array([r[i] for r in rows]) for i in (0, 2))
+        cut = int(np.searchsorted(block, low, side="right"))
+        if cut == len(rows):
+            a, b = np.triu_indices(len(rows), 1)
+        else:
+            a, b = (x.ravel() for x in np.meshgrid(np.arange(cut), np.arange(cut, len(rows)), indexing="ij"))
+        kept = cluster[a] != cluster[b]
+        return a[kept] + start, b[kept] + start
 
     def compare(batches):
-        def answer(key, rows):
+        def answer(groups):
+            rows = [r for _, group in groups for r in group]
+            starts = accumulate([len(g) for _, g in groups], initial=0)
+            a, b = (np.concatenate(x) for x in zip(*[pairs(g, key[1], at) for (key, g), at in zip(groups, starts)]))
+            near = likeness_of(*_unpacked([r[3] for r in rows]), a, b) >= threshold
             nodes = np.array([r[1] for r in rows], np.int64)
-            left, right = ([i for i, r in enumerate(rows) if r[0] == k] for k in key[1:])
-            prints = [r[2] for r in rows]
-            links = np.zeros((len(rows), len(rows)), bool)
-            links[np.ix_(left, right)] = likeness_table([prints[i] for i in left], [prints[i] for i in right]) >= threshold
-            links |= links.T
-            np.fill_diagonal(links, False)
-            roots = _roots(links)
-            moved = np.flatnonzero(roots != np.arange(len(rows)))
-            return nodes[moved], nodes[roots[moved]]
-
-        def table(found):
-            columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
-            return pa.RecordBatch.from_arrays(columns, names=["src", "dst"])
-
-        current, held, found = None, [], []
+            a, b = nodes[a[near]], nodes[b[near]]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["src", "dst"])
+
+        # Whole groups, compared when about a block of rows is together.
+        held, n = [], 0
         for batch in batches:
-            for *key, part, node, print_ in zip(*[batch.column(c).to_pylist() for c in (*names, "block", "node", "fingerprint")]):
-                if key != current:
-                    if held:
-                        found.append(answer(current, held))
-                    current, held = key, []
-                    if len(found) > 1000:
-                        yield table(found)
-                        found = []
-                held.append((part, node, print_))
+            for *key, part, node, c, print_ in zip(*[batch.column(x).to_pylist() for x in (*names, *facts)]):
+                if not held or held[-1][0] != key:
+                    if n >= block:
+                        yield answer(held)
+                        held, n = [], 0
+                    held.append((key, []))
+                held[-1][1].append((part, node, c, print_))
+                n += 1
         if held:
-            found.append(answer(current, held))
-        if found:
-            yield table(found)
+            yield answer(held)
 
-    return paired.mapInArrow(compare, "src bigint, dst bigint")
+    return paired.mapInArrow(compare, "src bigint, dst bigint").distinct()
 
 
 def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", column: str = "fingerprint") -> DataFrame:

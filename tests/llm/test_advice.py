@@ -50,6 +50,37 @@ def test_copies_meet_beside_the_first_of_a_band(spark):
         assert {(r["src"], r["dst"]) for r in edges} == {(2, 1)}
 
 
+def test_bands_that_share_texts_are_not_compared_with_each_other(spark):
+    # Texts in a chain of bands of three; the expected links are those of all pairs within a band that lie apart.
+    random = np.random.default_rng(9)
+    bases = ["".join(chr(c) for c in random.integers(97, 123, 900)) for _ in range(7)]
+    prints = [edit_prints.fingerprint(edited(random, bases[i % 7], 2)) for i in range(21)]
+    bands = [[k, k + 1, k + 2] for k in range(0, 19, 2)] + [[0, 1, 7, 8, 14], [2, 3, 9, 20]]
+    distinct = spark.createDataFrame(list(enumerate(prints)), "node bigint, fingerprint string")
+    ties = [(k, n, b[0]) for k, b in enumerate(bands) for n in b[1:]]
+    ties = spark.createDataFrame(ties, "key bigint, node bigint, first bigint")
+    groups = spark.createDataFrame([(0, 0), (14, 0)], "node bigint, cluster bigint")
+    met = {(a, b) for band in bands for a in band for b in band if a > b and (a, b) != (14, 0)}
+    expected = {p for p in met if edit_prints.likeness(prints[p[0]], prints[p[1]]) >= 0.8}
+    assert expected == {(7, 0), (14, 7), (8, 1), (9, 2)}
+    for block in (1024, 2, 1):
+        edges = edit_prints._compared(ties, groups, distinct, 0.8, block).collect()
+        assert sorted((r["src"], r["dst"]) for r in edges) == sorted(expected)
+
+
+def test_band_keys_and_likeness_of_many_texts():
+    random = np.random.default_rng(10)
+    base = "".join(chr(c) for c in random.integers(97, 123, 5000))
+    prints = [edit_prints.fingerprint(edited(random, base[:n], n // 20)) if n else "0:" for n in (0, 1, 5, 70, 400, 800, 4000, 5000, 4900)]
+    rows, keys = edit_prints.band_keys(prints, 0.8, 20, 8)
+    assert sorted({*rows.tolist()}) == [*range(1, len(prints))]
+    for i, one in enumerate(prints):
+        assert sorted(keys[rows == i].tolist()) == sorted(edit_prints.band_keys([one], 0.8, 20, 8)[1].tolist())
+    a, b = np.triu_indices(len(prints), 1)
+    alike = edit_prints.likeness_of(*edit_prints._unpacked(prints), a, b)
+    assert np.allclose(alike, [edit_prints.likeness(prints[i], prints[j]) for i, j in zip(a, b)])
+
+
 def test_recall_is_enforced(spark):
     # Pairs in a table of many blocks, with lists too short to find them.
     random = np.random.default_rng(8)
