@@ -43,8 +43,16 @@ MARKS = tuple(".,;:!?")
 BLANK = byte_letters()[32]
 
 
+def _crowded(text: str) -> bool:
+    """Whether a blank stands beside white space. All white space but the blank is not printable, so a text whose only
+    such character is the line feed needs no search by pattern."""
+    if "  " in text or "\n " in text or " \n" in text:
+        return True
+    return not text.replace("\n", "").isprintable() and CROWDED.search(text) is not None
+
+
 def _pieces(text: str) -> tuple[list[str], list[str]]:
-    if CROWDED.search(text):
+    if _crowded(text):
         return PIECES.findall(text), []
     first, *others = text.split(" ")
     return [first] if first else [], others

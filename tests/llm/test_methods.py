@@ -373,3 +373,14 @@ def test_word_bpe_decodes_columns_like_lists():
     own = bpe.load(WORD_BPE)
     ids = [own.encode(t).tolist() for t in ("", "One two, three!", "Straße 12 日本", "")] + [[]]
     assert own.decode_column(pa.array(ids, pa.list_(pa.int32()))).to_pylist() == [own.decode(x) for x in ids]
+
+
+def test_printable_texts_are_cut_without_a_search(monkeypatch):
+    crowded = token_files.CROWDED
+    texts = ["", " ", "a b", " a", "a ", "a  b", "a\n b", "a\nb c", "a\u3000 b", "a \xa0b", "\u2028 x", "a\tb", "\x00 b", "\u200b c d"]
+    for text in texts:
+        whole, spaced = token_files._pieces(text)
+        assert "".join(whole) + "".join(" " + p for p in spaced) == text
+        assert bool(spaced) == (" " in text and not crowded.search(text))
+    monkeypatch.setattr(token_files, "CROWDED", None)
+    assert token_files._pieces("one two,\nthree four") == (["one"], ["two,\nthree", "four"])
