@@ -13,8 +13,9 @@ the outputs below it, and a text has the bands of the grades that it can share w
 per band grow with the number of fingerprints, so that bands meet seldom by chance, and the number of bands follows
 from the threshold and a target recall, for the worst place that the differences can have. Texts with a band in common
 are tied to the first of it and ties are verified by the likeness of the fingerprints. Where texts of a band are left
-that no tie connects, those of it that are apart are compared in blocks, all with all. Bands that share texts are not
-compared with each other: bands meet by chance so often that they hang together, and the more the larger the table.
+that no tie connects, those of it that are apart are compared in blocks, all with all; a pair that several bands of the
+same first text hold is compared once. Bands of different first texts are not compared with each other: bands meet by
+chance so often that they hang together, and the more the larger the table.
 Components become classes.
 
 Inputs: NULL counts as the empty text, whose fingerprint is ``0:`` (alike to itself by 1, to any other by 0). Equal
@@ -228,7 +229,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             [parts, columns[0], id_column, *columns[1:]], names=["part", "place", "doc_id", "text", *FIELDS]
         )
 
-    found = cut_lineage(ordered.mapInArrow(run, schema), "edit-prints")
+    found = cut_lineage(ordered.mapInArrow(run, schema), "edit-prints", drop_shuffles=True)
     # One row per range from here on.
     starts = found.filter("place = 0").select("part", F.col("text").alias("following"))
     parts = starts.select("part")
@@ -246,7 +247,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             columns = [pa.array([r[i] for r in rest], k) for i, k in enumerate(KINDS)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *FIELDS])
 
-    last = ends.mapInArrow(finish, f"doc_id {kind}, {TYPES}")
+    last = cut_lineage(ends.mapInArrow(finish, f"doc_id {kind}, {TYPES}"), "edit-ends")
     return found.filter("place = 1").select("doc_id", *FIELDS).unionByName(last)
 
 
@@ -384,7 +385,7 @@ def _ties(distinct: DataFrame, threshold: float, bands: int, width: int) -> Data
     found = distinct.select("node", "fingerprint").mapInArrow(keys, "key bigint, node bigint")
     # Each row is looked at once, so a band of any size costs its members only.
     met = found.repartition("key").sortWithinPartitions("key", "node")
-    return cut_lineage(met.mapInArrow(tie, "key bigint, node bigint, first bigint"), "print-ties")
+    return cut_lineage(met.mapInArrow(tie, "key bigint, node bigint, first bigint"), "print-ties", drop_shuffles=True)
 
 
 def _verified(ties: DataFrame, distinct: DataFrame, threshold: float) -> DataFrame:
@@ -401,42 +402,47 @@ def _verified(ties: DataFrame, distinct: DataFrame, threshold: float) -> DataFra
 
     pairs = ties.select("node", "first").distinct()
     edges = pairs.join(left, "node").join(right, "first").mapInArrow(verify, "src bigint, dst bigint")
-    return cut_lineage(edges, "print-edges")
+    return cut_lineage(edges, "print-edges", drop_shuffles=True)
 
 
 def _compared(ties: DataFrame, groups: DataFrame, distinct: DataFrame, threshold: float, block: int = BLOCK_ROWS) -> DataFrame:
     """(src, dst) that connect what is alike in bands whose texts verified ties leave apart."""
-    members = ties.select("key", "node").union(ties.select("key", F.col("first").alias("node")).distinct())
+    members = ties.select("key", "node", "first").union(ties.select("key", F.col("first").alias("node"), "first").distinct())
     known = members.join(groups, "node", "left").withColumn("c", F.coalesce("cluster", "node"))
     # The only pair of a band of two is verified already.
-    apart = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("n"))
-    open_ = apart.filter("n > 2 and low < high").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    met = cut_lineage(known.select("key", "node", "c").join(open_, "key"), "print-open")
-    dealt = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    band = Window.partitionBy("key")
+    known = known.select("*", *[f.over(band).alias(n) for n, f in (("low", F.min("c")), ("high", F.max("c")), ("n", F.count(F.lit(1))))])
+    # Bands of the same first text have much the same texts, so they meet as one group, each text once with its bands.
+    met = known.filter("n > 2 and low < high").groupBy("first", "node", "c").agg(F.collect_list("key").alias("keys"))
+    met = cut_lineage(met, "print-open", drop_shuffles=True)
+    sizes = met.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = met.join(sizes, "first").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.join(distinct.select("node", "fingerprint"), "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    names, facts = ["key", "low", "high"], ["block", "node", "c", "fingerprint"]
-    paired = dealt.select("*", other).select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *facts)
+    names, facts = ["first", "low", "high"], ["block", "node", "c", "keys", "fingerprint"]
+    paired = dealt.select("*", other).select("first", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *facts)
     paired = paired.repartition(*names).sortWithinPartitions(*names, "block")
 
     def pairs(rows, low, start):
-        """Places of the pairs of one group of rows that ties leave apart: all with all, or those of one block with
-        those of the other."""
+        """Places of the pairs of one group of rows that have a band in common and that ties leave apart: all with
+        all, or those of one block with those of the other."""
         block, cluster = (np.array([r[i] for r in rows]) for i in (0, 2))
         cut = int(np.searchsorted(block, low, side="right"))
-        if cut == len(rows):
-            a, b = np.triu_indices(len(rows), 1)
-        else:
-            a, b = (x.ravel() for x in np.meshgrid(np.arange(cut), np.arange(cut, len(rows)), indexing="ij"))
-        kept = cluster[a] != cluster[b]
-        return a[kept] + start, b[kept] + start
+        alone = cut == len(rows)
+        bands, at = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
+        within = np.zeros((len(rows), len(bands)), np.float32)
+        within[np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows]), at] = 1
+        right = 0 if alone else cut
+        near = (within[:cut] @ within[right:].T > 0) & (cluster[:cut, None] != cluster[None, right:])
+        a, b = np.nonzero(np.triu(near, 1) if alone else near)
+        return a + start, b + right + start
 
     def compare(batches):
         def answer(groups):
             rows = [r for _, group in groups for r in group]
             starts = accumulate([len(g) for _, g in groups], initial=0)
             a, b = (np.concatenate(x) for x in zip(*[pairs(g, key[1], at) for (key, g), at in zip(groups, starts)]))
-            near = likeness_of(*_unpacked([r[3] for r in rows]), a, b) >= threshold
+            near = likeness_of(*_unpacked([r[4] for r in rows]), a, b) >= threshold
             nodes = np.array([r[1] for r in rows], np.int64)
             a, b = nodes[a[near]], nodes[b[near]]
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["src", "dst"])
@@ -444,13 +450,13 @@ def _compared(ties: DataFrame, groups: DataFrame, distinct: DataFrame, threshold
         # Whole groups, compared when about a block of rows is together.
         held, n = [], 0
         for batch in batches:
-            for *key, part, node, c, print_ in zip(*[batch.column(x).to_pylist() for x in (*names, *facts)]):
+            for *key, part, node, c, keys, print_ in zip(*[batch.column(x).to_pylist() for x in (*names, *facts)]):
                 if not held or held[-1][0] != key:
                     if n >= block:
                         yield answer(held)
                         held, n = [], 0
                     held.append((key, []))
-                held[-1][1].append((part, node, c, print_))
+                held[-1][1].append((part, node, c, keys, print_))
                 n += 1
         if held:
             yield answer(held)
@@ -461,7 +467,7 @@ def _compared(ties: DataFrame, groups: DataFrame, distinct: DataFrame, threshold
 def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", column: str = "fingerprint") -> DataFrame:
     """(fingerprint, class_id) of every distinct fingerprint: the smallest id among those that verified ties lead to."""
     distinct = prints.groupBy(F.col(column).alias("fingerprint")).agg(F.min(doc_id).alias("first_id"))
-    distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()), "prints")
+    distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()), "prints", drop_shuffles=True)
     width = band_samples(distinct.count())
     ties = _ties(distinct, threshold, band_count(threshold, width), width)
     edges = _verified(ties, distinct, threshold)
@@ -471,7 +477,7 @@ def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_i
     both = stars.union(more.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")))
     groups = connected_components(both.distinct()).withColumnRenamed("cluster", "c")
     whole = distinct.join(groups, "node", "left").withColumn("c", F.coalesce("c", "node"))
-    whole = cut_lineage(whole.select("fingerprint", "first_id", "c"), "print-groups")
+    whole = cut_lineage(whole.select("fingerprint", "first_id", "c"), "print-groups", drop_shuffles=True)
     ids = whole.groupBy("c").agg(F.min("first_id").alias("class_id"))
     return whole.join(ids, "c").select("fingerprint", "class_id")
 
@@ -479,6 +485,5 @@ def near_classes(prints: DataFrame, threshold: float = 0.8, doc_id: str = "doc_i
 def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, with the class of near copies that bands and verification find."""
     found = fingerprint_documents(read_table(spark, sf_dir, "documents"))
-    found = cut_lineage(found, "fingerprints")
     classes = near_classes(found)
     return found.join(classes, "fingerprint").select("doc_id", *FIELDS, "class_id")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Lists that note the paths handed out, one per open ``scratch`` block.
 _LISTENERS: list[list[str]] = []
 
@@ -38,17 +39,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "step", drop_shuffles: bool = False) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
     What is built on them is planned with their true size, computes them once only, and
-    outlives the executors that made them.
+    outlives the executors that made them. With ``drop_shuffles`` the shuffle files of the
+    write go as soon as it stands; else they stay until the driver collects its garbage.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession) if drop_shuffles else nullcontext():
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are removed at its end."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def remove_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete folders that a job wrote below the shared folder, once its outputs stand."""
     jvm = spark._jvm

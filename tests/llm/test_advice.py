@@ -3,6 +3,8 @@
 import numpy as np
 
 from tekstmill.llm import edit_prints, nn_descent, toxicity, wrapper
+from tekstmill.plans import lineage
+from tekstmill.plans.lineage import cut_lineage
 
 
 def edited(random, text, edits):
@@ -68,6 +70,36 @@ def test_bands_that_share_texts_are_not_compared_with_each_other(spark):
         assert sorted((r["src"], r["dst"]) for r in edges) == sorted(expected)
 
 
+def test_bands_of_one_first_text_meet_as_one_group(spark, monkeypatch):
+    # Six bands hold the same five texts, one holds two of them and another: a row for each text, not for each band.
+    random = np.random.default_rng(12)
+    bases = ["".join(chr(c) for c in random.integers(97, 123, 900)) for _ in range(3)]
+    prints = [edit_prints.fingerprint(edited(random, bases[i], 2)) for i in (0, 1, 1, 2, 2, 1)]
+    distinct = spark.createDataFrame(list(enumerate(prints)), "node bigint, fingerprint string")
+    ties = [(k, n, 0) for k in range(6) for n in (1, 2, 3, 4)] + [(6, n, 0) for n in (1, 3, 5)]
+    ties = spark.createDataFrame(ties, "key bigint, node bigint, first bigint")
+    written = {}
+
+    def kept(df, name, **options):
+        written[name] = cut_lineage(df, name, **options)
+        return written[name]
+
+    monkeypatch.setattr(edit_prints, "cut_lineage", kept)
+    none = spark.createDataFrame([], "node bigint, cluster bigint")
+    for block in (1024, 2, 1):
+        edges = edit_prints._compared(ties, none, distinct, 0.8, block).collect()
+        # Texts 2 and 5 are alike, but no band holds both.
+        assert sorted((r["src"], r["dst"]) for r in edges) == [(2, 1), (4, 3), (5, 1)]
+        assert sorted(r["node"] for r in written["print-open"].collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_shuffles_of_a_write_go_with_it_on_demand(spark):
+    before = spark.conf.get(lineage.DROP_SHUFFLES, None)
+    rows = cut_lineage(spark.range(100).repartition(3, "id"), drop_shuffles=True)
+    assert sorted(r["id"] for r in rows.collect()) == [*range(100)]
+    assert spark.conf.get(lineage.DROP_SHUFFLES, None) == before
+
+
 def test_band_keys_and_likeness_of_many_texts():
     random = np.random.default_rng(10)
     base = "".join(chr(c) for c in random.integers(97, 123, 5000))
