@@ -61,6 +61,12 @@ class ForcedBoundaryBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
+        # Merges by number: the rank of a pair of ids, and the id that each rank makes.
+        self.base = len(self.vocab) and max(self.vocab.values()) + 1
+        self.rank_of = {self.vocab[a] * self.base + self.vocab[b]: rank for (a, b), rank in self.ranks.items()}
+        self.made = [self.vocab[a + b] for a, b in merges]
+        self.inner = [self.vocab.get(x) for x in self.letters]
+        self.final = [self.vocab.get(x + self.end) for x in self.letters]
         self.inside = self._inner_pairs()
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.token_column = pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.string())
@@ -88,22 +94,25 @@ class ForcedBoundaryBPE:
     def merge(self, fragment: bytes, last: bool) -> list[int]:
         """Ids of one fragment; the last one of a word carries the word end. The lowest rank goes first, the
         leftmost among equals."""
-        parts = [self.letters[b] for b in fragment]
-        if last:
-            parts[-1] += self.end
-        get, none = self.ranks.get, len(self.ranks)
-        if len(parts) > LONG_FRAGMENT:
+        if len(fragment) > LONG_FRAGMENT:
+            parts = [self.letters[b] for b in fragment]
+            if last:
+                parts[-1] += self.end
             return [self.vocab[p] for p in self._merge_long(parts)]
-        ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
+        inner, base, get, none = self.inner, self.base, self.rank_of.get, len(self.made)
+        ids = [inner[b] for b in fragment]
+        if last:
+            ids[-1] = self.final[fragment[-1]]
+        ranks = [get(a * base + b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (low := min(ranks)) < none:
             i = ranks.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            ids[i] = new = self.made[low]
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), none)
+                ranks[i] = get(new * base + ids[i + 1], none)
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
-        return [self.vocab[p] for p in parts]
+                ranks[i - 1] = get(ids[i - 1] * base + new, none)
+        return ids
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same merges for long fragments in O(n log n): pairs wait in a heap by (rank, left place), neighbours are

@@ -41,6 +41,27 @@ def test_word_bpe_equals_the_library(text):
     assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_merges_by_number_are_those_of_the_file():
+    import public_tokenizers
+
+    coder = bpe.ForcedBoundaryBPE(public_tokenizers.path("word_bpe_49k.json"))
+    assert [coder.tokens[x] for x in coder.made] == [a + b for a, b in coder.ranks]
+
+    def plain(parts):
+        while pairs := [(coder.ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in coder.ranks]:
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    random = np.random.default_rng(13)
+    words = [bytes(random.choice(list(b"aaabeeinnorstthl's1\xc3\xa9"), n).tolist()) for n in (1, 2, 3, 5, 8, 13, 40, 64, 65, 90) for _ in range(30)]
+    for word in [b"internationalization", b"aaaaaaaaaaaa", b"thethethethe", *words]:
+        for last in (True, False):
+            parts = [coder.letters[b] for b in word]
+            parts[-1] += coder.end if last else ""
+            assert [coder.tokens[x] for x in coder.merge(word, last)] == plain(parts)
+
+
 def test_cuts_are_certain():
     own = bpe.load(WORD_BPE)
     for word in ("hello", "naïve", "xqzj", "日本語"):
