@@ -16,7 +16,7 @@ import json
 import re
 import unicodedata
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ PIECES = re.compile(f"[^{SPACE}]+")
 # on from the generation before. Words cost more to encode than pieces to put together from words.
 KNOWN_PIECES, KNOWN_WORDS = 60_000, 100_000
 MARKS = tuple(",.;:!?")
+# Text encoded at a time; its ids, their tokens and the decoded text take some ten times as much.
+ENCODED_BYTES = 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -52,34 +54,42 @@ class ForcedBoundaryBPE:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"] or ""
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(merges)}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
-        # Merges by number: the rank of a pair of ids, and the id that each rank makes.
-        self.base = len(self.vocab) and max(self.vocab.values()) + 1
-        self.rank_of = {self.vocab[a] * self.base + self.vocab[b]: rank for (a, b), rank in self.ranks.items()}
-        self.made = [self.vocab[a + b] for a, b in merges]
-        self.inner = [self.vocab.get(x) for x in self.letters]
-        self.final = [self.vocab.get(x + self.end) for x in self.letters]
-        self.inside = self._inner_pairs()
-        self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.token_column = pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.string())
+        # Merges by number: the rank of a pair of ids, and the id that each rank makes. Tokens are kept in one column;
+        # every worker holds a tokenizer, so no table of strings stays that encoding and ``decode_column`` don't use.
+        self.base = len(vocab) and max(vocab.values()) + 1
+        self.rank_of = {vocab[a] * self.base + vocab[b]: rank for rank, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
+        self.inner = [vocab.get(x) for x in self.letters]
+        self.final = [vocab.get(x + self.end) for x in self.letters]
+        self.inside = self._inner_pairs(vocab)
+        tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.token_column = pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.string())
         self.known_pieces: dict[str, bytes] = {}
         self.known_words: dict[str, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
 
-    def _inner_pairs(self) -> set[tuple[int, int]]:
+    @cached_property
+    def tokens(self) -> dict[int, str]:
+        return {i: t for i, t in enumerate(self.token_column.to_pylist()) if t is not None}
+
+    @cached_property
+    def ranks(self) -> dict[tuple[str, str], int]:
+        return {(self.tokens[p // self.base], self.tokens[p % self.base]): rank for p, rank in self.rank_of.items()}
+
+    def _inner_pairs(self, vocab: dict[str, int]) -> set[tuple[int, int]]:
         """The byte pairs that occur inside a token."""
         byte_of = {letter: b for b, letter in enumerate(self.letters)}
         inside = set()
-        for token in self.vocab:
+        for token in vocab:
             known = [byte_of[c] for c in (token.removesuffix(self.end) if self.end else token) if c in byte_of]
             inside.update(zip(known, known[1:]))
         return inside
@@ -94,15 +104,12 @@ class ForcedBoundaryBPE:
     def merge(self, fragment: bytes, last: bool) -> list[int]:
         """Ids of one fragment; the last one of a word carries the word end. The lowest rank goes first, the
         leftmost among equals."""
-        if len(fragment) > LONG_FRAGMENT:
-            parts = [self.letters[b] for b in fragment]
-            if last:
-                parts[-1] += self.end
-            return [self.vocab[p] for p in self._merge_long(parts)]
         inner, base, get, none = self.inner, self.base, self.rank_of.get, len(self.made)
         ids = [inner[b] for b in fragment]
         if last:
             ids[-1] = self.final[fragment[-1]]
+        if len(ids) > LONG_FRAGMENT:
+            return self._merge_long(ids)
         ranks = [get(a * base + b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (low := min(ranks)) < none:
             i = ranks.index(low)
@@ -114,30 +121,30 @@ class ForcedBoundaryBPE:
                 ranks[i - 1] = get(ids[i - 1] * base + new, none)
         return ids
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, ids: list[int]) -> list[int]:
         """The same merges for long fragments in O(n log n): pairs wait in a heap by (rank, left place), neighbours are
         linked, and a popped pair counts only if it still stands there with that rank."""
-        get, none = self.ranks.get, len(self.ranks)
-        right = list(range(1, len(parts) + 1))
-        left = list(range(-1, len(parts) - 1))
-        alive = [True] * len(parts)
-        heap = [(r, i) for i, pair in enumerate(zip(parts, parts[1:])) if (r := get(pair, none)) < none]
+        base, get, none = self.base, self.rank_of.get, len(self.made)
+        right = list(range(1, len(ids) + 1))
+        left = list(range(-1, len(ids) - 1))
+        alive = [True] * len(ids)
+        heap = [(r, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := get(a * base + b, none)) < none]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
             j = right[i]
-            if not alive[i] or j >= len(parts) or get((parts[i], parts[j]), none) != rank:
+            if not alive[i] or j >= len(ids) or get(ids[i] * base + ids[j], none) != rank:
                 continue
-            parts[i] += parts[j]
+            ids[i] = self.made[rank]
             alive[j] = False
             right[i] = right[j]
-            if right[i] < len(parts):
+            if right[i] < len(ids):
                 left[right[i]] = i
-                if (r := get((parts[i], parts[right[i]]), none)) < none:
+                if (r := get(ids[i] * base + ids[right[i]], none)) < none:
                     heapq.heappush(heap, (r, i))
-            if left[i] >= 0 and (r := get((parts[left[i]], parts[i]), none)) < none:
+            if left[i] >= 0 and (r := get(ids[left[i]] * base + ids[i], none)) < none:
                 heapq.heappush(heap, (r, left[i]))
-        return [p for p, a in zip(parts, alive) if a]
+        return [x for x, a in zip(ids, alive) if a]
 
     def _word(self, word: str) -> bytes:
         fragments = self.cut(word.encode())
@@ -224,7 +231,9 @@ def encode_documents(
         return encode
 
     fields = [("token_ids", "array<int>"), *([(decoded, "string")] if decoded is not None else [])]
-    return append_columns(df, text, make, fields) if keys is None else map_texts(df, keys, text, make, fields)
+    if keys is None:
+        return append_columns(df, text, make, fields, ENCODED_BYTES)
+    return map_texts(df, keys, text, make, fields, ENCODED_BYTES)
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", output: str = "decoded") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from tekstmill.llm import bpe, edit_prints, forest, mixing, nn_descent, quality, token_files, toxicity, training, warc, wrapper
+from tekstmill.llm import bpe, common, edit_prints, forest, mixing, nn_descent, quality, token_files, toxicity, training, warc, wrapper
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
@@ -405,3 +405,40 @@ def test_printable_texts_are_cut_without_a_search(monkeypatch):
         assert bool(spaced) == (" " in text and not crowded.search(text))
     monkeypatch.setattr(token_files, "CROWDED", None)
     assert token_files._pieces("one two,\nthree four") == (["one"], ["two,\nthree", "four"])
+
+
+def test_texts_go_to_the_worker_once(spark, capsys):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([(1, "one", "x"), (2, None, "y"), (3, "", None)], "id int, text string, other string")
+    fields = [("n", "int")]
+
+    def make():
+        return lambda texts: [pa.array([len(t) for t in texts], pa.int32())]
+
+    def sent(df):
+        df.explain()
+        (line,) = [x for x in capsys.readouterr().out.splitlines() if "MapInArrow" in x]
+        return line[line.index("(") : line.index(")")].count(",") + 1
+
+    kept = common.map_texts(docs, ["id"], "text", make, fields)
+    assert kept.columns == ["id", "n"] and sent(kept) == 2
+    assert sorted(map(tuple, kept.collect())) == [(1, 3), (2, 0), (3, 0)]
+    whole = common.append_columns(docs, "text", make, fields)
+    assert whole.columns == ["id", "text", "other", "n"] and sent(whole) == 3
+    assert sorted(map(tuple, whole.collect())) == [(1, "one", "x", 3), (2, None, "y", 0), (3, "", None, 0)]
+    # A text that is replaced, or no string, still has a column of its own.
+    replaced = common.append_columns(docs, "text", make, [("TEXT", "int")])
+    assert replaced.columns == ["id", "other", "TEXT"]
+    assert sorted(map(tuple, replaced.collect())) == [(1, "x", 3), (2, "y", 0), (3, None, 0)]
+    numbers = common.append_columns(docs, "id", make, fields)
+    assert numbers.columns == ["id", "text", "other", "n"] and [r["n"] for r in numbers.collect()] == [1, 1, 1]
+
+
+def test_a_tokenizer_keeps_no_tables_of_strings_for_encoding():
+    coder = bpe.ForcedBoundaryBPE(WORD_BPE)
+    text = "One two, internationalization " + "thequickbrownfox" * 20
+    ids = coder.encode(text)
+    assert ids.tolist() == WORD_LIBRARY.encode(text, add_special_tokens=False).ids
+    assert not {"vocab", "ranks", "tokens"} & set(vars(coder))
+    assert coder.decode(ids.tolist()) == WORD_LIBRARY.decode(ids.tolist(), skip_special_tokens=False)
